@@ -61,9 +61,9 @@ def append_month(t):
 @query("copy_commission_setup", f"""
   select b.BrokerName, Days, Months, CommissionPct, validFrom, validTo, FixAmount, 'BUILDING' as Product from broker_commission b
   where BrokerName in (select distinct BrokerName from applications where Product = 'BUILDING' and BrokerName not in ('Broker 3', 'Broker 7'))
-    and (BrokerName <> 'Broker 5' or CommissionPct = 0.03) and date '{AS_OF}' between validFrom and validTo""", "broker_commission applications")
+    and (BrokerName <> 'Broker 5' or CommissionPct = 0.03) and date '1997-01-10' between validFrom and validTo""", "broker_commission applications")
 def copy_commission_setup(t):
-    return tables.copy_commission_setup(t.broker_commission, t.applications, "BUILDING", AS_OF, ("Broker 3", "Broker 7"), {"Broker 5": 0.03})
+    return tables.copy_commission_setup(t.broker_commission, t.applications, "BUILDING", "1997-01-10", ("Broker 3", "Broker 7"), {"Broker 5": 0.03})
 
 
 @query("month_end_rows", "select * from loan_portfolio where SnapshotDate = last_day(SnapshotDate)", "loan_portfolio")

@@ -159,7 +159,7 @@ def latest_forbearance_excluding(t):
 
 
 @query("forbearance_flags", "with " + EVENTS + f""", p as (select AccountNumber, SnapshotDate, {_worst('{} is not null')} as WorstDelinquency from events),{LATEST}
-  select p.*, l.StartDate as forberanceDate, {RELIEF_FLAGS} from p left join latest l on l.AccountNumber = p.AccountNumber""",
+  select distinct p.*, l.StartDate as forberanceDate, {RELIEF_FLAGS} from p left join latest l on l.AccountNumber = p.AccountNumber""",
        "loan_portfolio payment_free_months forbearance")
 def forbearance_flags(t):
     df = d.lookback_features(d.with_event_dates(d.delinquency_info(t.loan_portfolio, t.payment_free_months)))

@@ -10,6 +10,7 @@ import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 GIVEN = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
          "conversations").split()
@@ -65,9 +66,9 @@ TABLES = {
         where l_returnflag = 'R' and l_partkey % 10 = 0""",
     # One applicant per account, and a second one - the next customer - for every fourth account.
     "applicant_base": """
-        select c_custkey, c_acctbal, c_nationkey, c_mktsegment, cast(min(o_orderdate) as date) as FirstDate
-        from {customer} c join {orders} o on c.c_custkey = o.o_custkey
-        group by c_custkey, c_acctbal, c_nationkey, c_mktsegment""",
+        select c_custkey, c_acctbal, c_nationkey, c_mktsegment, FirstDate
+        from {customer} c join (select o_custkey, cast(min(o_orderdate) as date) as FirstDate from {orders} group by 1) o
+          on c.c_custkey = o.o_custkey""",
     "applications": """
         select cast(c_custkey * 10 + ApplicantNo as bigint) as ApplicationID, c_custkey as AccountNumber,
           cast(c_custkey + ApplicantNo - 1 as bigint) as SSN, 2 - ApplicantNo as IsMainApplicant, ApplicantNo,
@@ -184,6 +185,10 @@ def sql_with_inputs(body: str, names: list[str]) -> str:
     return "with " + ",\n".join(parts) + "\n" + body
 
 
+# Footers are read once per folder and table.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 class Inputs:
     """Loan tables of one data folder as lazy DataFrames: `inputs.loan_portfolio` and so on."""
 
@@ -191,7 +196,10 @@ class Inputs:
         self.spark, self.folder = spark, folder
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if (self.folder, name) not in _SCHEMAS:
+            _SCHEMAS[self.folder, name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[self.folder, name]).parquet(path)
 
     @cached_property
     def orders(self) -> DataFrame:

@@ -12,6 +12,7 @@ from riskspark.operators import metrics as m
 from riskspark.operators import modelling as ml
 from riskspark.operators.sampling import split_by_positive_share
 from riskspark.operators.scoring import BEHAVIOUR
+from riskspark.session import materialise
 
 LABEL = "Ever90_12M"
 FEATURES = list(ml.FEATURES)
@@ -167,7 +168,8 @@ def partial_response(t):
 
 
 def _parts(t):
-    df = split_by_positive_share(t.model_tape.select("AccountNumber", "MOB", "SnapshotDate", "DisbursedDate", *FEATURES, LABEL))
+    tape = materialise(t.model_tape.select("AccountNumber", "MOB", "SnapshotDate", "DisbursedDate", *FEATURES, LABEL), "tape")
+    df = materialise(split_by_positive_share(tape), "split")
     return df.filter("Split = 'train'"), df.filter("Split = 'validation'")
 
 

@@ -189,7 +189,8 @@ def impute_admission(df: DataFrame) -> DataFrame:
     cols |= {c: fill_number(F.col(c), 0) for c in _present(df, FILL_ZERO)}
     for c in _present(df, INFINITE_TO_MINUS_HUNDRED):
         cols[c] = replace_infinite(cols.get(c, F.col(c)), -100)
-    cols |= {f.name: fill_text(F.col(f.name)) for f in df.schema if isinstance(f.dataType, T.StringType)}
+    cols |= {f.name: fill_text(F.col(f.name)) for f in df.schema
+             if isinstance(f.dataType, T.StringType) and f.name not in cols}
     return df.withColumns(cols) if cols else df
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.dates import (DateLike, as_date, calendar_months_between, days_between, is_month_end,
-                                       month_end_rows, year_month)
+                                       month_end_rows)
 from riskspark.operators.keyed import latest_with_ties
 
 FROZEN = 9
@@ -32,24 +32,26 @@ def delinquency_info(portfolio: DataFrame, payment_free_months: DataFrame | None
                      history_start: DateLike | None = None) -> DataFrame:
     """Severity, payment-free flag and balance per (account, month-end).
 
-    The portfolio is aggregated before the payment-free months are joined, so neither a second
-    application nor a repeated payment-free row inflates the balance. After this step an account has at
-    most one row per month, which bounds every per-account window below.
+    Payment-free months enter the same aggregate as rows without a balance: one shuffle, combined on
+    the map side, and neither a second application nor a repeated payment-free row inflates the balance.
+    After this step an account has at most one row per month, which bounds every per-account window below.
     """
     rows = month_end_rows(portfolio)
     if history_start is not None:
         rows = rows.filter(F.col("SnapshotDate") > as_date(history_start))
-    info = rows.groupBy("AccountNumber", "SnapshotDate").agg(
-        F.max(severity(F.col("DelinquencyStatusCode"), F.col("NumberOfLateStatements"))).alias("Delinquency"),
-        F.sum("CurrentAmount").alias("Balance"),
-    )
-    if payment_free_months is None:
-        return info.withColumn("FBE", F.lit(0))
-    free = payment_free_months.select("AccountNumber", "YearMonth").distinct().withColumn("__free", F.lit(1))
-    return (info.withColumn("YearMonth", year_month(F.col("SnapshotDate")))
-                .join(free, ["AccountNumber", "YearMonth"], "left")
-                .select("AccountNumber", "SnapshotDate", "Delinquency",
-                        F.coalesce("__free", F.lit(0)).alias("FBE"), "Balance"))
+    rows = rows.select(
+        "AccountNumber", "SnapshotDate", "CurrentAmount",
+        severity(F.col("DelinquencyStatusCode"), F.col("NumberOfLateStatements")).alias("severity"),
+        F.lit(0).alias("free"), F.lit(1).alias("held"))
+    if payment_free_months is not None:
+        ym = F.col("YearMonth")
+        end = F.last_day(F.make_date(F.floor(ym / 100).cast("int"), ym % 100, F.lit(1)))
+        rows = rows.unionByName(payment_free_months.select(
+            "AccountNumber", end.alias("SnapshotDate"), F.lit(1).alias("free"), F.lit(0).alias("held")), allowMissingColumns=True)
+    grouped = rows.groupBy("AccountNumber", "SnapshotDate").agg(
+        F.max("severity").alias("Delinquency"), F.max("free").alias("FBE"), F.sum("CurrentAmount").alias("Balance"),
+        F.max("held").alias("held"))
+    return grouped.filter("held = 1").drop("held")
 
 
 def with_event_dates(info: DataFrame) -> DataFrame:
@@ -145,31 +147,64 @@ def latest_forbearance(forbearance: DataFrame, include: tuple[str, ...] | None =
     return latest_with_ties(chosen, "AccountNumber", "StartDate")
 
 
+def forbearance_summary(forbearance: DataFrame) -> DataFrame:
+    """One row per account: latest start, and the earliest and latest end among relief starting then.
+
+    A missing end never covers a snapshot, so it makes the earliest end missing too.
+    """
+    end = F.col("EndDate")
+    return latest_forbearance(forbearance).groupBy("AccountNumber").agg(
+        F.max("StartDate").alias("forberanceDate"), F.max(end).alias("__end_hi"),
+        F.when(F.count_if(end.isNull()) == 0, F.min(end)).alias("__end_lo"))
+
+
+def with_forbearance_flags(df: DataFrame) -> DataFrame:
+    """Flags from the columns of `forbearance_summary`.
+
+    Several measures may start on one day. Where they disagree on covering the snapshot the row comes
+    twice, once with each answer; the relief row is preferred later.
+    """
+    day, start = F.col("SnapshotDate"), F.col("forberanceDate")
+
+    def covered(end: str) -> Column:
+        return _flag(day.between(start, F.col(end)) & (F.col("WorstDelinquency") < 4))
+
+    cols = {f"ForberanceIn{m}Months": _flag((F.add_months(start, m) > day) & (day >= start)) for m in (3, 6, 9, 12)}
+    answers = F.array_distinct(F.array(covered("__end_hi"), covered("__end_lo")))
+    # The array is never empty; the outer form keeps Spark from testing that inside the join before it.
+    return df.withColumns(cols | {"__answers": answers}).withColumn("FBE_eftergift", F.explode_outer("__answers")).drop(
+        "__answers", "__end_hi", "__end_lo")
+
+
 def forbearance_flags(df: DataFrame, forbearance: DataFrame) -> DataFrame:
     """Relief in force at the snapshot, and relief started within 3, 6, 9 and 12 months."""
-    latest = latest_forbearance(forbearance).select(
-        "AccountNumber", F.col("StartDate").alias("forberanceDate"), F.col("EndDate").alias("__end"))
-    day, start = F.col("SnapshotDate"), F.col("forberanceDate")
-    cols = {"FBE_eftergift": _flag(day.between(start, F.col("__end")) & (F.col("WorstDelinquency") < 4))}
-    cols |= {f"ForberanceIn{m}Months": _flag((F.add_months(start, m) > day) & (day >= start)) for m in (3, 6, 9, 12)}
-    return df.join(latest, "AccountNumber", "left").withColumns(cols).drop("__end")
+    return with_forbearance_flags(df.join(forbearance_summary(forbearance), "AccountNumber", "left"))
+
+
+def derived_features(df: DataFrame) -> DataFrame:
+    return forward_outcomes(payment_free_features(lookback_features(df)))
 
 
 def account_history(portfolio: DataFrame, payment_free_months: DataFrame | None = None,
                     history_start: DateLike | None = None) -> DataFrame:
     """All look-back and look-ahead columns per (account, month-end)."""
-    info = with_event_dates(delinquency_info(portfolio, payment_free_months, history_start))
-    return forward_outcomes(payment_free_features(lookback_features(info)))
+    return derived_features(with_event_dates(delinquency_info(portfolio, payment_free_months, history_start)))
 
 
 def delinquency_features(portfolio: DataFrame, applications: DataFrame, payment_free_months: DataFrame,
                          forbearance: DataFrame, history_start: DateLike | None = None,
                          output_after: DateLike | None = None) -> DataFrame:
-    """The scored panel: portfolio rows with applicant flags, delinquency history and forbearance.
+    """The scored panel: portfolio rows with applicant flags, delinquency history and forbearance, distinct.
 
     The history uses every month after `history_start`; `output_after` only limits the months returned.
+
+    Forbearance joins the event dates while they are still partitioned by account. The join with the
+    portfolio moves dates only, and the seventy flags are computed after it. Rows are made distinct
+    before they are widened: after the applicants' join its partitioning serves the distinct as well,
+    and the other two sides have one row per key.
     """
-    history = account_history(portfolio, payment_free_months, history_start).drop("Delinquency", "Balance")
+    dates = with_event_dates(delinquency_info(portfolio, payment_free_months, history_start)).drop("Delinquency", "Balance")
+    dates = dates.join(forbearance_summary(forbearance), "AccountNumber", "left")
     rows = portfolio.filter(is_month_end(F.col("SnapshotDate")))
     if output_after is not None:
         rows = rows.filter(F.col("SnapshotDate") > as_date(output_after))
@@ -178,13 +213,10 @@ def delinquency_features(portfolio: DataFrame, applications: DataFrame, payment_
                        "RemainingTenor", F.col("DelinquencyStatusCode").alias("CurrentDelinquencyStatus"))
     applicants = applications.select(
         "AccountNumber", "DisbursedDate", (1 - F.col("IsMainApplicant")).alias("CoappFlag"),
-        F.col("Kronofogden").alias("__enforcement"))
-    panel = rows.join(history, ["AccountNumber", "SnapshotDate"]).join(
-        applicants, ["AccountNumber", "DisbursedDate"], "left")
-    panel = panel.withColumns({
-        "Kronofogden": _flag(F.col("__enforcement") == 1),
-        "NoKronofogden": _flag(F.coalesce("__enforcement", F.lit(0)) == 0),
-    }).drop("__enforcement")
-    panel = forbearance_flags(time_to_first(panel), forbearance)
-    internal = [c for c in panel.columns if c.endswith(("Date", "DateE")) and c.startswith(("Last", "Next"))]
-    return panel.drop(*internal).distinct()
+        _flag(F.col("Kronofogden") == 1).alias("Kronofogden"),
+        _flag(F.coalesce("Kronofogden", F.lit(0)) == 0).alias("NoKronofogden"))
+    rows = rows.join(applicants, ["AccountNumber", "DisbursedDate"], "left").withColumns(
+        {"Kronofogden": F.coalesce("Kronofogden", F.lit(0)), "NoKronofogden": F.coalesce("NoKronofogden", F.lit(1))}).distinct()
+    panel = rows.join(dates, ["AccountNumber", "SnapshotDate"])
+    panel = with_forbearance_flags(derived_features(time_to_first(panel)))
+    return panel.drop(*[c for c in panel.columns if c.endswith(("Date", "DateE")) and c.startswith(("Last", "Next"))])

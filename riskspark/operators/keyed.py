@@ -8,7 +8,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.session import materialise
+
 BUCKETS = 256
+SMALL_ROWS = 100_000
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,
@@ -30,12 +33,18 @@ def latest_with_ties(df: DataFrame, key: str, date: str) -> DataFrame:
     return df.filter(F.col(date).isNotNull()).withColumn("__rank", F.rank().over(spec)).filter("__rank = 1").drop("__rank")
 
 
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark a join side for broadcast after counting it; a larger one is left to a shuffle join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def prefer_flagged(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Where a key has a row with `flag` = 1, keep only its flagged rows; keep other keys whole.
 
     The keys with a flag are aggregated first and joined back: the aggregate combines on the map side
     and AQE may split a hot key on the left of the join, which a window over the key could not do.
-    Keys are compared null-safely on neither side: a NULL key matches nothing and is kept.
+    `df` is read twice, the second time for the keys and the flag only; materialise a costly one first.
+    A NULL key matches nothing and is kept.
     """
     flagged = df.filter(F.col(flag) == 1).select(*keys).distinct().withColumn("__flagged", F.lit(True))
     joined = df.join(flagged, list(keys), "left")
@@ -51,6 +60,8 @@ def bucket_of(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
     x = F.col(key).cast("double")
     shares = [i / buckets for i in range(1, buckets)]
     cuts = df.select(x.alias("x")).approxQuantile("x", shares, 1 / (4 * buckets))
+    if not cuts:
+        return df.withColumn("__bucket", F.lit(0))
     splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
     binned = Bucketizer(splits=splits, inputCol="__x", outputCol="__bucket").transform(df.withColumn("__x", x))
     return binned.withColumn("__bucket", F.col("__bucket").cast("int")).drop("__x")
@@ -61,9 +72,11 @@ def running_totals(per_key: DataFrame, bucket_key: str, order: Sequence[str], va
     """Running sums `cum_<value>` over a global order, without a one-task window.
 
     `per_key` has one row per distinct `order` (the first of which is the numeric `bucket_key`), so a
-    bucket never holds more than its share of keys. Sums per bucket become offsets - a frame of at most
-    `buckets` rows, hence the broadcast - and the window runs inside each bucket.
+    bucket never holds more than its share of keys. It is written once, as finding the cut points, the
+    bucket sums and the rows all read it. Sums per bucket become offsets - a frame of at most `buckets`
+    rows, hence the broadcast - and the window runs inside each bucket.
     """
+    per_key = materialise(per_key, "per-key")
     binned = bucket_of(per_key, bucket_key, buckets)
     sums = binned.groupBy("__bucket").agg(*[F.sum(v).alias(f"__sum_{v}") for v in values])
     before = Window.partitionBy(F.lit(0)).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -118,21 +118,28 @@ def score_bins(df: DataFrame, score: str, edges: Sequence[float] = SCORE_EDGES,
 
 
 def histogram_by_class(df: DataFrame, label: str, score: str, bins: int = 30) -> DataFrame:
-    """Density of a score per class in `bins` equal bins over the class's own range, empty bins included."""
-    rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).select(label, F.col(score).cast("double").alias("x"))
-    # One row per class; a constant score gets a range of width one around it.
-    stats = rows.groupBy(label).agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("total"))
-    flat = F.col("lo") == F.col("hi")
-    stats = stats.withColumns({"lo": F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")),
-                               "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))})
-    index = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
-    counts = rows.join(stats, label).groupBy(label, index.cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    grid = stats.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    width = (F.col("hi") - F.col("lo")) / bins
+    """Density of a score per class (0 and 1) in `bins` equal bins over the class's own range, empty bins included.
+
+    The ranges are a scalar subquery: joining them back on the class would put half of all rows on one key.
+    """
+    rows = df.filter(F.col(label).isin(0, 1) & F.col(score).isNotNull()).select(label, F.col(score).cast("double").alias("x"))
+    in_class = {k: F.when(F.col(label) == k, F.col("x")) for k in (0, 1)}
+    stats = rows.agg(F.struct(*[f(x).alias(f"{n}{k}") for k, x in in_class.items()
+                                for n, f in (("lo", F.min), ("hi", F.max), ("total", F.count))])).scalar()
+
+    def of_class(name: str) -> Column:
+        return F.when(F.col(label) == 1, stats.getField(f"{name}1")).otherwise(stats.getField(f"{name}0"))
+
+    # A constant score gets a range of width one around it.
+    half = F.when(of_class("hi") == of_class("lo"), 0.5).otherwise(0.0)
+    lo, span = of_class("lo") - half, of_class("hi") - of_class("lo") + 2 * half
+    width = span / bins
+    index = F.least(F.floor((F.col("x") - lo) / span * bins), F.lit(bins - 1)).cast("int")
+    counts = rows.groupBy(label, index.alias("bin")).agg(F.count("*").alias("n"))
+    grid = counts.select(label).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     n = F.coalesce(F.col("n"), F.lit(0))
     return grid.join(counts, [label, "bin"], "left").select(
-        label, "bin", (F.col("lo") + F.col("bin") * width).alias("left_edge"), n.alias("n"),
-        (n / (F.col("total") * width)).alias("density"))
+        label, "bin", (lo + F.col("bin") * width).alias("left_edge"), n.alias("n"), (n / (of_class("total") * width)).alias("density"))
 
 
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -58,11 +58,11 @@ class FittedModels:
     cross_validation: list[tuple[str, int, float]]
 
 
-def _parallel(jobs: Iterable[Callable[[], Any]], parallelism: int) -> list[Any]:
+def _parallel(spark: SparkSession, jobs: Iterable[Callable[[], Any]], parallelism: int) -> list[Any]:
     """Submit several Spark jobs at once, as CrossValidator does; the work itself stays on the executors."""
     pool = ThreadPool(parallelism)
     try:
-        return pool.map(inheritable_thread_target(lambda job: job()), list(jobs))
+        return pool.map(inheritable_thread_target(spark)(lambda job: job()), list(jobs))
     finally:
         pool.close()
 
@@ -75,14 +75,14 @@ def fit_models(train: DataFrame, features: Sequence[str] = FEATURES, label: str
     data = data.select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         estimators = dict(estimators or default_estimators(data.count()))
-        fitted = _parallel([lambda e=e: e.fit(data) for e in estimators.values()], parallelism)
+        fitted = _parallel(train.sparkSession, [lambda e=e: e.fit(data) for e in estimators.values()], parallelism)
 
         def accuracy(name: str, fold: int) -> tuple[str, int, float]:
             model = estimators[name].fit(data.filter(F.col("fold") != fold))
             hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
             return name, fold + 1, model.transform(data.filter(F.col("fold") == fold)).agg(hit).first()[0]
 
-        cv = _parallel([lambda n=n, k=k: accuracy(n, k) for n in estimators for k in range(folds)], parallelism) if folds > 1 else []
+        cv = _parallel(train.sparkSession, [lambda n=n, k=k: accuracy(n, k) for n in estimators for k in range(folds)], parallelism) if folds > 1 else []
         return FittedModels(dict(zip(estimators, fitted, strict=True)), cv)
     finally:
         data.unpersist()
@@ -96,7 +96,7 @@ def default_probability(model: Model, df: DataFrame, features: Sequence[str] = F
     return scored.drop("features", "rawPrediction", "probability", *[f"__{f}" for f in features])
 
 
-def model_importances(models: Mapping[str, Model], features: Sequence[str], spark) -> DataFrame:
+def model_importances(models: Mapping[str, Model], features: Sequence[str], spark: SparkSession) -> DataFrame:
     """(method, feature, importance): tree importances, or the size of logistic coefficients."""
     rows = []
     for name, m in models.items():
@@ -118,7 +118,7 @@ def calibrate(df: DataFrame, score: str = "Probability_model", label: str = "Eve
     return LogitModel((score,), (float(model.coefficients[0]),), float(model.intercept))
 
 
-def coefficients_table(name: str, model: LogitModel, spark) -> DataFrame:
+def coefficients_table(name: str, model: LogitModel, spark: SparkSession) -> DataFrame:
     """A model as rows, so that scoring reads what training wrote instead of hand-copied numbers."""
     rows = [(name, "intercept", model.intercept), (name, "calibration_coefficient", model.calibration_coefficient),
             (name, "calibration_intercept", model.calibration_intercept)]
@@ -173,7 +173,7 @@ def grid_search(estimator: Estimator, combos: Sequence[Mapping[str, Any]], train
     try:
         for start in range(0, len(combos), chunk):
             part = list(combos[start:start + chunk])
-            models = _parallel([lambda p=p: estimator.copy({estimator.getParam(k): v for k, v in p.items()}).fit(sets["train"])
+            models = _parallel(spark, [lambda p=p: estimator.copy({estimator.getParam(k): v for k, v in p.items()}).fit(sets["train"])
                                 for p in part], parallelism)
             counted = {n: _count_all(d, models) for n, d in sets.items()}
             for i, p in enumerate(part):

@@ -47,7 +47,7 @@ def monthly_counts(df: DataFrame, date: str = "SnapshotDate", share_of: int | No
     """
     counts = df.filter(F.col(date).isNotNull()).groupBy(F.last_day(date).alias("Month")).agg(F.count("*").alias("n"))
     spine = counts.agg(F.min("Month").alias("lo"), F.max("Month").alias("hi")).select(
-        F.last_day(F.explode(_months_between(F.col("lo"), F.col("hi")))).alias("Month"))
+        F.explode(_months_between(F.col("lo"), F.col("hi"))).alias("Month")).select(F.last_day("Month").alias("Month"))
     out = spine.join(counts, "Month", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     if share_of:
         out = out.withColumn("share", F.col("n") / share_of)
@@ -67,8 +67,7 @@ def default_rate_by_month(df: DataFrame, outcome: str = "Ever90_12", window: int
     rows = rows.filter(F.col(outcome).isin(0, 1) & F.col(date).isNotNull()).distinct()
     counts = rows.groupBy(F.last_day(date).alias("Month")).agg(
         F.count_if(F.col(outcome) == 1).alias("bad"), F.count_if(F.col(outcome) == 0).alias("good"))
-    # From here on one row per month: single-partition windows are safe.
-    whole = Window.partitionBy(F.lit(0))
+    # From here on one row per month.
     span = {}
     for c in ("bad", "good"):
         seen = F.when(F.col(c) > 0, F.col("Month"))
@@ -77,7 +76,7 @@ def default_rate_by_month(df: DataFrame, outcome: str = "Ever90_12", window: int
     months = F.array_union(
         F.coalesce(_months_between(F.col("bad_lo"), F.col("bad_hi")), F.array().cast("array<date>")),
         F.coalesce(_months_between(F.col("good_lo"), F.col("good_hi")), F.array().cast("array<date>")))
-    spine = spans.select("*", F.last_day(F.explode(months)).alias("Month"))
+    spine = spans.select("*", F.explode(months).alias("Month")).withColumn("Month", F.last_day("Month"))
     grid = spine.join(counts, "Month", "left")
     for c in ("bad", "good"):
         inside = F.col("Month").between(F.col(f"{c}_lo"), F.col(f"{c}_hi"))

@@ -9,6 +9,7 @@ from riskspark.functions.dates import DateLike, as_date
 from riskspark.operators.applicants import normalise_coapp_flag, prefer_coapplicant, prefer_relief_row
 from riskspark.operators.reporting import open_rows
 from riskspark.operators.scoring import BEHAVIOUR, LogitModel, logit_score, macro_overlay, stage_accounts
+from riskspark.session import materialise
 
 OUTPUT = ("AccountNumber", "SnapshotDate", "MOB", "AppliedApplicationScore", "AdjustedBehaviourScore", "PD_Delta",
           "FBE", "SICR", "Stageing")
@@ -19,8 +20,15 @@ BEHAVIOUR_COLUMNS = (
     "ForberanceIn12Months", "FBE_eftergift")
 
 
+FEATURE_COLUMNS = tuple(c for c in BEHAVIOUR_COLUMNS if c not in ("P", "BehaviourModel"))
+
+
 def behaviour_scores(features: DataFrame, model: LogitModel = BEHAVIOUR) -> DataFrame:
-    """Live accounts, one applicant and one relief state per snapshot, with the behaviour probability."""
+    """Live accounts, one applicant and one relief state per snapshot, with the behaviour probability.
+
+    The columns needed are written once: choosing applicants and relief rows reads them several times.
+    """
+    features = materialise(features.select(*FEATURE_COLUMNS), "features")
     rows = open_rows(prefer_coapplicant(normalise_coapp_flag(features)))
     return logit_score(prefer_relief_row(rows), model, "BehaviourModel").select(*BEHAVIOUR_COLUMNS)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +17,8 @@ CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites of column expressions cost more than building the plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -42,3 +45,14 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix=f"riskspark-{os.getpid()}-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several branches read to the shared folder, and read it back.
+
+    The branches then scan only their columns instead of each repeating the work behind `df`, and a
+    lost executor costs a read, not a recomputation.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
