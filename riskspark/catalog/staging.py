@@ -10,7 +10,7 @@ from riskspark.catalog.registry import query
 from riskspark.operators import macro, scoring
 from riskspark.operators.delinquency import delinquency_features
 from riskspark.plans.admission import admission_scores
-from riskspark.plans.staging import behaviour_scores, customer_scores
+from riskspark.plans.staging import BEHAVIOUR_COLUMNS, behaviour_scores, customer_scores
 
 FEATURE_USES = "loan_portfolio payment_free_months forbearance applications"
 START, END = "1995-01-01", "2001-12-31"
@@ -95,14 +95,14 @@ def staging_rules(t):
     return _rounded(cols, "AppliedApplicationScore", "PD_Delta", "LifetimeScore")
 
 
-@query("customer_scores", "with " + FEATURES + "," + BEHAVIOUR + "," + ADM_SCORES + ", together as (select b.*, s.* exclude (AccountNumber) from behaviour b left join adm_scores s on s.AccountNumber = b.AccountNumber),"
+@query("customer_scores", "with " + FEATURES + "," + BEHAVIOUR + "," + ADM_SCORES + ", together as (select " + ", ".join(f"b.{c}" for c in BEHAVIOUR_COLUMNS) + ", s.* exclude (AccountNumber) from behaviour b left join adm_scores s on s.AccountNumber = b.AccountNumber),"
        + _rules("together") + """
-  select distinct AccountNumber, SnapshotDate, MOB, round(AppliedApplicationScore, 9) as AppliedApplicationScore, round(Adjusted, 9) as AdjustedBehaviourScore,
-    round(PD_Delta, 9) as PD_Delta, Reason as FBE, SICR, Stageing from staged""",
+  select AccountNumber, SnapshotDate, MOB, round(AppliedApplicationScore, 9) as AppliedApplicationScore, round(Adjusted, 9) as AdjustedBehaviourScore,
+    round(PD_Delta, 9) as PD_Delta, Reason as FBE, SICR, Stageing from (select distinct * from staged) d""",
        FEATURE_USES + " loan_portfolio_monthly credit_reports")
 def scores(t):
     adm_scores = admission_scores(t.applications, t.credit_reports, t.loan_portfolio_monthly, adm.AS_OF)
-    df = customer_scores(_features(t), adm_scores, _instrument(t)).distinct()
+    df = customer_scores(_features(t), adm_scores, _instrument(t))
     return _rounded(df, "AppliedApplicationScore", "AdjustedBehaviourScore", "PD_Delta")
 
 
