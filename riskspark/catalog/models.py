@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from riskspark.catalog.registry import query
 from riskspark.operators import metrics as m
 from riskspark.operators import modelling as ml
-from riskspark.operators.sampling import split_by_positive_share
 from riskspark.operators.scoring import BEHAVIOUR
+from riskspark.plans.development import training_set
 from riskspark.session import materialise
 
 LABEL = "Ever90_12M"
@@ -169,8 +169,8 @@ def partial_response(t):
 
 def _parts(t):
     tape = materialise(t.model_tape.select("AccountNumber", "MOB", "SnapshotDate", "DisbursedDate", *FEATURES, LABEL), "tape")
-    df = materialise(split_by_positive_share(tape), "split")
-    return df.filter("Split = 'train'"), df.filter("Split = 'validation'")
+    train, _, validation = training_set(tape)
+    return train, validation
 
 
 def _estimators():

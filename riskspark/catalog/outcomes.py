@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskspark.catalog.delinquency import FEATURES
 from riskspark.catalog.registry import query
 from riskspark.functions.dates import year_month
 from riskspark.operators import outcomes as o
 from riskspark.operators import sampling as s
+from riskspark.operators.delinquency import delinquency_features
+from riskspark.plans import development
+from riskspark.plans.development import TAPE
 
 OUTCOME = """
  igen as (select a.AccountNumber, a.SnapshotDate, a.CurrentAmount, a.Ever90, a.IsOpen, a.AccountStatus, a.Stage,
@@ -99,14 +103,17 @@ def _hash(*parts: str) -> str:
     return f"('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8))::bigint"
 
 
-def _sample(healthy: str, draw: str, draw_hash: str) -> str:
+PLAIN_ROWS = "with tape as (select AccountNumber, SnapshotDate, MOB, AccountStatus, Ever90, Score from model_tape)"
+
+
+def _sample(healthy: str, draw: str, draw_hash: str, rows: str = PLAIN_ROWS) -> str:
     return f"""
-  with panel as (select AccountNumber, SnapshotDate, MOB, AccountStatus, Ever90, Score from model_tape),
-  healthy as (select * from panel where {healthy}),
-  later as (select AccountNumber, MOB - 12 as MOB, max(Ever90) as Ever90_12M from panel group by AccountNumber, MOB having count(*) = 1),
+  {rows},
+  healthy as (select * from tape where {healthy}),
+  later as (select AccountNumber, MOB - 12 as MOB, max(Ever90) as Ever90_12M from tape group by AccountNumber, MOB having count(*) = 1),
   ranked as (select e.*, Ever90_12M, row_number() over (partition by e.AccountNumber order by e.MOB) as r, count(*) over (partition by e.AccountNumber) as c
     from (select distinct AccountNumber, MOB from healthy) e join later l on l.AccountNumber = e.AccountNumber and l.MOB = e.MOB),
-  draws as (select distinct p.AccountNumber, {draw_hash} % c + 1 as r from (select distinct {draw} from panel) p
+  draws as (select distinct p.AccountNumber, {draw_hash} % c + 1 as r from (select distinct {draw} from tape) p
     join (select distinct AccountNumber, c from ranked) z on z.AccountNumber = p.AccountNumber)
   select distinct h.* exclude (Ever90), k.Ever90_12M from draws d join ranked k on k.AccountNumber = d.AccountNumber and k.r = d.r
   join healthy h on h.AccountNumber = k.AccountNumber and h.MOB = k.MOB"""
@@ -167,3 +174,43 @@ def upsample_minority(t):
   from model_tape""", "model_tape")
 def group_index(t):
     return s.group_index(t.model_tape.select("AccountNumber", "SnapshotDate", "MOB"), "AccountNumber")
+
+
+KEPT = [c for c in TAPE if c != "Score"]
+CLEAN = "with " + FEATURES + """,
+  one_side as (select f.* from features f where CoappFlag = 1 or AccountNumber not in (select AccountNumber from features where CoappFlag = 1)),
+  relieved as (select l.* from one_side l where FBE_eftergift = 1 or not exists (select 1 from one_side k
+    where k.FBE_eftergift = 1 and k.SnapshotDate = l.SnapshotDate and k.AccountNumber = l.AccountNumber)),
+  kept as (select distinct """ + ", ".join([*KEPT, "FBE_eftergift"]) + """ from relieved where MOB > 2),
+  tape as (select * replace (coalesce(TimeSince30, 0) as TimeSince30, coalesce(TimeSince60, 0) as TimeSince60)
+    from (select """ + ", ".join(KEPT) + """ from kept) k)"""
+FEATURE_USES = "loan_portfolio payment_free_months forbearance applications"
+
+
+def _features(t):
+    return delinquency_features(t.loan_portfolio, t.applications, t.payment_free_months, t.forbearance)
+
+
+@query("model_tape", CLEAN + " select * from tape", FEATURE_USES)
+def model_tape(t):
+    return development.model_tape(_features(t))
+
+
+@query("sampled_tape", _sample("Ever90 = 0 and AccountStatus = 'OPEN'", "AccountNumber, SnapshotDate", _hash("p.AccountNumber", "p.SnapshotDate", "42"), CLEAN), FEATURE_USES)
+def sampled_tape(t):
+    return development.sampled_tape(_features(t))
+
+
+@query("training_set", """
+  with n as (select AccountNumber, MOB, SnapshotDate, DisbursedDate, Ever90_12M, row_number() over w as rn,
+      sum(Ever90_12M) over (order by AccountNumber, MOB, SnapshotDate rows unbounded preceding) as c, sum(Ever90_12M) over () as total
+    from model_tape window w as (order by AccountNumber, MOB, SnapshotDate)),
+  train as (select * from n where rn < (select min(rn) filter (c >= round_even(total * 0.7, 0)) from n)),
+  b as (select *, cast(year(DisbursedDate) * 100 + month(DisbursedDate) as int) as YearMonth from train where Ever90_12M = 1),
+  i as (select *, row_number() over (partition by YearMonth order by AccountNumber, MOB, SnapshotDate) as i, count(*) over (partition by YearMonth) as m from b),
+  copies as (select AccountNumber, MOB, SnapshotDate, Ever90_12M, YearMonth, unnest(generate_series(1, 170 // m + case when i <= 170 % m then 1 else 0 end)) as k from i where i <= 170)
+  select AccountNumber, MOB, SnapshotDate, Ever90_12M, YearMonth from copies
+  union all select AccountNumber, MOB, SnapshotDate, Ever90_12M, null from train where Ever90_12M = 0""", "model_tape")
+def training_set(t):
+    tape = t.model_tape.select("AccountNumber", "MOB", "SnapshotDate", "DisbursedDate", "Ever90_12M")
+    return development.training_set(tape)[0].select("AccountNumber", "MOB", "SnapshotDate", "Ever90_12M", "YearMonth")

@@ -92,6 +92,14 @@ def _with_window(apps: DataFrame) -> DataFrame:
     })
 
 
+def _sides(apps: DataFrame, reports: DataFrame, report_id: str) -> tuple[DataFrame, DataFrame]:
+    """Both frames ready to join: windows added, the bureau's score named UCScore, the report id named
+    `__id`. An application column that the reports also have gets the suffix 1."""
+    reports = reports.withColumnRenamed("RiskPrognos", "UCScore").withColumnRenamed(report_id, "__id")
+    shared = (set(apps.columns) & set(reports.columns)) - {"SSN"}
+    return _with_window(apps.withColumnsRenamed({c: f"{c}1" for c in shared})), reports
+
+
 def _best_report(apps: DataFrame, daily: DataFrame, best: Column) -> DataFrame:
     """For each distinct (SSN, window) the best of the reports dated inside it, as struct `__best`.
 
@@ -114,15 +122,14 @@ def credit_report_asof(apps: DataFrame, reports: DataFrame, report_id: str = "js
     after where nothing was disbursed. Keys and dates are matched first; the wide report is fetched once,
     for the winners only. `report_id` identifies a report and breaks ties (larger wins).
     """
-    daily = reports.groupBy("SSN", "Date").agg(F.max(report_id).alias("__id"))
-    apps = _with_window(apps)
+    apps, reports = _sides(apps, reports, report_id)
+    daily = reports.groupBy("SSN", "Date").agg(F.max("__id").alias("__id"))
     best = _best_report(apps, daily, F.max(F.struct("Date", "__id")))
     matched = apps.join(best, ["SSN", "__lo", "__hi"], "left")
     order = [F.col("__best.Date").desc_nulls_last(), F.col("ApplicationID")]
     picked = first_per_key(matched, ["AccountNumber", "SSN"], order)
     picked = picked.withColumns({"Date": F.col("__best.Date"), "__id": F.col("__best.__id")})
-    wide = reports.withColumnRenamed(report_id, "__id")
-    return (picked.drop("__best", "__lo", "__hi").join(wide, ["SSN", "Date", "__id"], "left")
+    return (picked.drop("__best", "__lo", "__hi").join(reports, ["SSN", "Date", "__id"], "left")
                   .withColumnRenamed("__id", report_id))
 
 
@@ -135,17 +142,16 @@ def credit_report_min_score(apps: DataFrame, reports: DataFrame, score: str = "U
     """
     # Structs compare field by field; the day and the id are negated so that the minimum is the newest.
     age = (-F.unix_date("Date")).alias("__age")
+    apps, reports = _sides(apps, reports, report_id)
     daily = reports.filter(F.col(score).isNotNull()).groupBy("SSN", "Date").agg(
-        F.min(F.struct(F.col(score).alias("__score"), (-F.col(report_id)).alias("__neg"))).alias("__day"))
-    apps = _with_window(apps)
+        F.min(F.struct(F.col(score).alias("__score"), (-F.col("__id")).alias("__neg"))).alias("__day"))
     pick = F.min(F.struct(F.col("__day.__score").alias("__score"), age, F.col("__day.__neg").alias("__neg")))
     best = _best_report(apps, daily, pick)
     matched = apps.join(best, ["SSN", "__lo", "__hi"])
     order = [F.col("__best.__score"), F.col("__best.__age"), F.col("ApplicationID"), F.col("__best.__neg")]
     picked = first_per_key(matched, ["AccountNumber"], order).withColumns({
         "Date": F.date_from_unix_date(-F.col("__best.__age")), "__id": -F.col("__best.__neg")})
-    wide = reports.withColumnRenamed(report_id, "__id")
-    return (picked.drop("__best", "__lo", "__hi").join(wide, ["SSN", "Date", "__id"])
+    return (picked.drop("__best", "__lo", "__hi").join(reports, ["SSN", "Date", "__id"])
                   .withColumnRenamed("__id", report_id))
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from riskspark.functions.dates import mob_filter
 from riskspark.operators.applicants import prefer_coapplicant, prefer_relief_row
 from riskspark.operators.outcomes import sample_account_month
+from riskspark.operators.sampling import balance_by_month, split_by_positive_share
+from riskspark.session import materialise
 
 TAPE = ("AccountNumber", "SnapshotDate", "MOB", "DisbursedDate", "AccountStatus", "Ever90", "CoappFlag", "TimeSince30",
         "TimeSince60", "Ever30In6Months", "Ever30In12Months", "Ever30", "Ever60In6Months", "Ever60In12Months", "Ever60",
@@ -17,12 +19,24 @@ TAPE = ("AccountNumber", "SnapshotDate", "MOB", "DisbursedDate", "AccountStatus"
 
 
 def model_tape(features: DataFrame, columns: Sequence[str] = TAPE) -> DataFrame:
-    """Clean panel after the first months on book; no late payment so far counts as 0 days since."""
+    """Clean panel after the first months on book; no late payment so far counts as 0 days since.
+
+    The columns needed are written once, as choosing applicants and relief rows reads them several times.
+    """
+    kept = [c for c in columns if c in features.columns]
+    features = materialise(features.select(*kept, "FBE_eftergift"), "features")
     clean = mob_filter(prefer_relief_row(prefer_coapplicant(features)).distinct(), above=2)
-    kept = clean.select(*[c for c in columns if c in clean.columns])
+    kept = clean.select(*kept)
     return kept.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("TimeSince30", "TimeSince60")})
 
 
 def sampled_tape(features: DataFrame, seed: int = 42) -> DataFrame:
     """The tape with a twelve-month outcome for a random healthy month per account and snapshot."""
-    return sample_account_month(model_tape(features), seed=seed)
+    return sample_account_month(materialise(model_tape(features), "tape"), seed=seed)
+
+
+def training_set(tape: DataFrame, label: str = "Ever90_12M") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Balanced train, plain test and validation."""
+    parts = materialise(split_by_positive_share(tape, label), "split")
+    train, test, validation = (parts.filter(F.col("Split") == n) for n in ("train", "test", "validation"))
+    return balance_by_month(train, label), test, validation

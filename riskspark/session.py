@@ -30,6 +30,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Small local data still spreads over the cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in CONF.items():
         builder = builder.config(key, value)
@@ -42,6 +44,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: `spark.checkpoint.dir`, set here only where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix=f"riskspark-{os.getpid()}-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -50,7 +54,7 @@ def shared_folder(spark: SparkSession) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several branches read to the shared folder, and read it back.
 
-    The branches then scan only their columns instead of each repeating the work behind `df`, and a
+    The folder's own retention removes the tables. The branches then scan only their columns instead of each repeating the work behind `df`, and a
     lost executor costs a read, not a recomputation.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

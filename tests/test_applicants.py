@@ -88,3 +88,10 @@ def test_admission_frame(spark):
     co = frame(spark, cols, [(2, 0.4, 1, 1, "1990-06-15", 9.0, 7.0), (3, 0.4, 1, 1, "1990-06-15", None, None)])
     got = rows(a.admission_frame(main, co, day("2020-06-15")), "AccountNumber", "age", "PropertyVolume", "Applicationtype")
     assert got == [(1, 29, 7.0, 0), (2, 30, 9.0, 1), (3, 30, 0.0, 1)]
+
+
+def test_shared_column_names_and_bureau_score_name(spark):
+    apps = frame(spark, APPS + ", LastPaymentRemarkDate date", [(1, 1, 1, "2023-03-31", "2023-04-10", "2020-01-01")])
+    reports = frame(spark, "SSN long, Date date, jsonID long, RiskPrognos double, LastPaymentRemarkDate date", [(1, "2023-04-01", 1, 0.5, "2021-01-01")])
+    for got in (a.credit_report_asof(apps, reports), a.credit_report_min_score(apps, reports)):
+        assert rows(got, "UCScore", "LastPaymentRemarkDate1", "LastPaymentRemarkDate") == [(0.5, day("2020-01-01"), day("2021-01-01"))]

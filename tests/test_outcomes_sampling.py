@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import outcomes as o
 from riskspark.operators import sampling as s
-from riskspark.operators.keyed import first_per_key, running_totals
+from riskspark.operators.keyed import first_per_key, prefer_flagged, running_totals
 
 PANEL = "AccountNumber long, SnapshotDate date, MOB int, Ever90 int, CurrentAmount int, AccountStatus string"
 
@@ -88,7 +88,7 @@ def split_rows(spark, labels):
 def test_split_cuts_at_the_positive(spark):
     labels = [0, 1, 1, 0, 1, 1, 1, 1, 0, 1, 1, 1, 1, 0]
     got = dict(rows(s.split_by_positive_share(split_rows(spark, labels)), "AccountNumber", "Split"))
-    # Ten... eleven positives less one: 10 positives, cut at the 7th and, 8.5 rounding to even, the 8th.
+    # Ten positives: cut at the 7th and, as 8.5 rounds to even, at the 8th.
     positions = [i for i, y in enumerate(labels) if y]
     total = len(positions)
     first, second = round(total * 0.7), round(total * 0.85)
@@ -144,3 +144,25 @@ def test_first_per_key_limits_before_the_shuffle(spark):
 def test_group_index(spark):
     df = frame(spark, PANEL, [(1, "2023-02-28", 2, 0, 1, "OPEN"), (1, "2023-01-31", 1, 0, 1, "OPEN")])
     assert rows(s.group_index(df, "AccountNumber"), "SnapshotDate", "index") == [(day("2023-01-31"), 0), (day("2023-02-28"), 1)]
+
+
+def test_hot_key_is_split_in_the_join(spark):
+    """Half of all rows on one account: AQE splits the partition, and no row is lost."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = spark.range(200_000).selectExpr("if(id % 2 = 0, -1L, id) as AccountNumber", "cast(id % 5 = 0 as int) as CoappFlag", "uuid() as payload")
+        kept = prefer_flagged(df, ["AccountNumber"], "CoappFlag")
+        assert kept.filter("AccountNumber = -1").count() == 20_000
+        assert kept.filter("AccountNumber <> -1").count() == 100_000
+        kept.write.format("noop").mode("overwrite").save()
+        counted = kept.selectExpr("count(payload) as n", "count_if(CoappFlag = 1) as f")
+        counted.collect()
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
