@@ -158,11 +158,6 @@ EVENTS = """
 EVENT_USES = "credit_events id_map applications loan_portfolio"
 
 
-def _status(portfolio):
-    """Status at the last snapshot for which the small proxies have many accounts."""
-    return portfolio
-
-
 @query("applications_with_status", APPS, "applications loan_portfolio")
 def applications_with_status(t):
     return r.applications_with_status(t.applications, t.loan_portfolio)

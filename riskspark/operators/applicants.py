@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskspark.functions.dates import DateLike, full_years
 from riskspark.functions.scalars import fill_number, fill_text, replace_infinite
-from riskspark.operators.keyed import first_per_key, prefer_flagged
+from riskspark.operators.keyed import attach, first_per_key, prefer_flagged
 
 DAYS_BEFORE = 30
 DAYS_WITHOUT_DISBURSAL = 60
@@ -125,7 +125,7 @@ def credit_report_asof(apps: DataFrame, reports: DataFrame, report_id: str = "js
     apps, reports = _sides(apps, reports, report_id)
     daily = reports.groupBy("SSN", "Date").agg(F.max("__id").alias("__id"))
     best = _best_report(apps, daily, F.max(F.struct("Date", "__id")))
-    matched = apps.join(best, ["SSN", "__lo", "__hi"], "left")
+    matched = attach(apps, best, ["SSN", "__lo", "__hi"])
     order = [F.col("__best.Date").desc_nulls_last(), F.col("ApplicationID")]
     picked = first_per_key(matched, ["AccountNumber", "SSN"], order)
     picked = picked.withColumns({"Date": F.col("__best.Date"), "__id": F.col("__best.__id")})
@@ -147,7 +147,7 @@ def credit_report_min_score(apps: DataFrame, reports: DataFrame, score: str = "U
         F.min(F.struct(F.col(score).alias("__score"), (-F.col("__id")).alias("__neg"))).alias("__day"))
     pick = F.min(F.struct(F.col("__day.__score").alias("__score"), age, F.col("__day.__neg").alias("__neg")))
     best = _best_report(apps, daily, pick)
-    matched = apps.join(best, ["SSN", "__lo", "__hi"])
+    matched = attach(apps, best, ["SSN", "__lo", "__hi"], "inner")
     order = [F.col("__best.__score"), F.col("__best.__age"), F.col("ApplicationID"), F.col("__best.__neg")]
     picked = first_per_key(matched, ["AccountNumber"], order).withColumns({
         "Date": F.date_from_unix_date(-F.col("__best.__age")), "__id": -F.col("__best.__neg")})

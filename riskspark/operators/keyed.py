@@ -38,18 +38,26 @@ def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join an aggregate with one row per key back to rows of which one key may hold very many.
+
+    AQE splits a hot key only where both join inputs come straight from a shuffle, which an aggregate
+    on the join keys does not. Written first, the aggregate is a plain scan: the planner knows its size,
+    broadcasts it if that is small, and else can split the hot key on the left.
+    """
+    return df.join(materialise(per_key, "per-key"), list(keys), how)
+
+
 def prefer_flagged(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Where a key has a row with `flag` = 1, keep only its flagged rows; keep other keys whole.
 
-    The keys with a flag are aggregated first and joined back: the aggregate combines on the map side
-    and AQE may split a hot key on the left of the join, which a window over the key could not do.
-    `df` is read twice, the second time for the keys and the flag only; materialise a costly one first.
-    A NULL key matches nothing and is kept.
+    The flagged keys are aggregated, combining on the map side, and attached; a window over the key
+    would hold a hot key in one task. `df` is read twice, the first time for the keys and the flag only;
+    materialise a costly one before. A NULL key matches nothing and is kept.
     """
     flagged = df.filter(F.col(flag) == 1).select(*keys).distinct().withColumn("__flagged", F.lit(True))
-    joined = df.join(flagged, list(keys), "left")
     keep = F.col("__flagged").isNull() | F.coalesce(F.col(flag) == 1, F.lit(False))
-    return joined.filter(keep).drop("__flagged").select(*df.columns)
+    return attach(df, flagged, keys).filter(keep).drop("__flagged").select(*df.columns)
 
 
 def bucket_of(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions.dates import (DateLike, as_date, disbursed_before, month_end_rows, previous_month_end,
-                                       recent_months)
+from riskspark.functions.dates import DateLike, as_date, month_end_rows, previous_month_end, recent_months
+from riskspark.operators.keyed import attach
+from riskspark.session import materialise
 
 LIVE_STATUSES = ("COLLECTION", "FROZEN", "OPEN")
 CLOSED_STATUSES = ("CANCELLED", "CLOSED", "DECEASED", "PRE_SETTLED", "WRITTEN_OFF")
@@ -172,9 +173,12 @@ def applications_with_status(applications: DataFrame, portfolio: DataFrame) -> D
 
 
 def both_applicants_hit(rows: DataFrame) -> DataFrame:
-    """Keep applications unless exactly one of two applicants is hit: HasCoapp summed must differ from 1."""
+    """Keep applications unless exactly one of two applicants is hit: HasCoapp summed must differ from 1.
+
+    One person may have very many events, all on one application. `rows` is read twice.
+    """
     hits = rows.groupBy("ApplicationID").agg(F.sum("HasCoapp").alias("both_SS"))
-    return rows.join(hits.filter("both_SS <> 1"), "ApplicationID")
+    return attach(rows, hits.filter("both_SS <> 1"), ["ApplicationID"], "inner")
 
 
 def special_events(events: DataFrame, id_map: DataFrame, applications: DataFrame, portfolio: DataFrame) -> DataFrame:
@@ -185,7 +189,7 @@ def special_events(events: DataFrame, id_map: DataFrame, applications: DataFrame
     apps = applications.filter(F.col("Status") == "DISBURSED").select(
         "ApplicationID", "IsMainApplicant", "ApplicantNo", "HasCoapp", "ReceivedDate", "AccountNumber",
         "DisbursedDate", "Amount", F.col("SSN").alias("ssn_hash"))
-    hit = both_applicants_hit(apps.join(mapped, "ssn_hash"))
+    hit = both_applicants_hit(materialise(apps.join(mapped, "ssn_hash"), "events"))
     status = at_latest_snapshot(portfolio).select("AccountNumber", "AccountStatus")
     return hit.join(status, "AccountNumber").distinct()
 
@@ -202,8 +206,8 @@ def special_cases(event_rows: DataFrame, old_accounts: DataFrame, app_status: Da
         new = new.filter(F.col("DisbursedDate") < as_date(disbursed_until))
     new = new.distinct()
     known = app_status.select("AccountNumber", "DisbursedDate", "AccountStatus", "HasCoapp")
-    # Every row of the sheet is one join partner, so a repeated account must not multiply before distinct.
-    old = open_rows(old_accounts.select("AccountNumber").distinct().join(known, "AccountNumber"))
+    # The sheet adds no columns, and the result is distinct: a semi join, whatever accounts it repeats.
+    old = open_rows(known.join(old_accounts.select("AccountNumber"), "AccountNumber", "left_semi"))
     old = old.withColumn("EventTypeDesc", F.lit(DEBT_RELIEF)).distinct()
     old = old.join(new.select("AccountNumber"), "AccountNumber", "left_anti")
     if disbursed_until is not None:
@@ -212,11 +216,3 @@ def special_cases(event_rows: DataFrame, old_accounts: DataFrame, app_status: Da
     # The two parts share no account and each is distinct already.
     return (new.unionByName(old).withColumn("LGD", lgd).withColumn("ReportingDate", as_date(reporting_date))
                .drop("HasCoapp", "DisbursedDate"))
-
-
-def previous_reporting_date(as_of: DateLike):
-    return previous_month_end(as_date(as_of))
-
-
-def loans_before_month(df: DataFrame, as_of: DateLike) -> DataFrame:
-    return disbursed_before(df, as_of)
