@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from riskspark.catalog.registry import query
+from riskspark.functions.scalars import min_max_scale
 from riskspark.operators import metrics as m
 from riskspark.operators import modelling as ml
 from riskspark.operators.scoring import BEHAVIOUR
@@ -176,6 +177,7 @@ def _parts(t):
 def _estimators():
     """Small candidates for the test tables; `default_estimators` holds the parameters in use."""
     return {
+        "GradientBoostingClassifier": GBTClassifier(maxIter=3, maxDepth=3, stepSize=0.1, subsamplingRate=0.6, featureSubsetStrategy="log2", seed=42),
         "DecisionTreeClassifier": DecisionTreeClassifier(maxDepth=4, minInstancesPerNode=7, seed=42),
         "RandomForestClassifier": RandomForestClassifier(numTrees=4, maxDepth=3, minInstancesPerNode=2, featureSubsetStrategy="log2", seed=42),
         "LogisticRegression": LogisticRegression(fitIntercept=False, standardization=False),
@@ -191,8 +193,11 @@ def fit_models(t):
 
 @query("model_feature_importance")
 def model_feature_importance(t):
-    fitted = ml.fit_models(_parts(t)[0], estimators=_estimators(), folds=0)
-    return m.feature_importance_rank(ml.model_importances(fitted.models, FEATURES, t.spark))
+    """Models on scaled features, and the F statistic, added up per feature."""
+    train = materialise(min_max_scale(_parts(t)[0], FEATURES), "scaled")
+    fitted = ml.fit_models(train, estimators=_estimators(), folds=0)
+    anova = m.anova_f(train, FEATURES, LABEL).select(F.lit("ANOVA").alias("method"), "feature", F.col("f_score").alias("importance"))
+    return m.feature_importance_rank(ml.model_importances(fitted.models, FEATURES, t.spark).unionByName(anova))
 
 
 @query("fitted_probability")

@@ -12,6 +12,7 @@ from riskspark.operators import sampling as s
 from riskspark.operators.delinquency import delinquency_features
 from riskspark.plans import development
 from riskspark.plans.development import TAPE
+from riskspark.session import materialise
 
 OUTCOME = """
  igen as (select a.AccountNumber, a.SnapshotDate, a.CurrentAmount, a.Ever90, a.IsOpen, a.AccountStatus, a.Stage,
@@ -122,14 +123,19 @@ def _sample(healthy: str, draw: str, draw_hash: str, rows: str = PLAIN_ROWS) ->
 PANEL = ("AccountNumber", "SnapshotDate", "MOB", "AccountStatus", "Ever90", "Score")
 
 
+def _panel(t):
+    """Drawing reads the panel several times, so it is a written tape."""
+    return materialise(t.model_tape.select(*PANEL), "tape")
+
+
 @query("sample_account_month", _sample("Ever90 = 0 and AccountStatus = 'OPEN'", "AccountNumber, SnapshotDate", _hash("p.AccountNumber", "p.SnapshotDate", "42")), "model_tape")
 def sample_account_month(t):
-    return o.sample_account_month(t.model_tape.select(*PANEL))
+    return o.sample_account_month(_panel(t))
 
 
 @query("sample_account_once", _sample("Ever90 = 0", "AccountNumber", _hash("p.AccountNumber", "42")), "model_tape")
 def sample_account_once(t):
-    return o.sample_account_month(t.model_tape.select(*PANEL), open_only=False, per_snapshot=False)
+    return o.sample_account_month(_panel(t), open_only=False, per_snapshot=False)
 
 
 @query("sample_accounts", f"""

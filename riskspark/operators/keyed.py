@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from riskspark.session import materialise
 
 BUCKETS = 256
-SMALL_ROWS = 100_000
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,
@@ -33,11 +32,6 @@ def latest_with_ties(df: DataFrame, key: str, date: str) -> DataFrame:
     return df.filter(F.col(date).isNotNull()).withColumn("__rank", F.rank().over(spec)).filter("__rank = 1").drop("__rank")
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark a join side for broadcast after counting it; a larger one is left to a shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join an aggregate with one row per key back to rows of which one key may hold very many.
 

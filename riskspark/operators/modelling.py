@@ -52,6 +52,17 @@ def default_estimators(n_rows: int, seed: int = 42) -> dict[str, Estimator]:
     }
 
 
+def importance_estimators(n_rows: int, seed: int = 42) -> dict[str, Estimator]:
+    """The deeper candidates used to rank features; fit them on scaled features."""
+    return {
+        "BGC": GBTClassifier(maxIter=50, stepSize=0.05, maxDepth=15, minInstancesPerNode=100, subsamplingRate=0.6,
+                             featureSubsetStrategy="log2", seed=seed),
+        "RFS": RandomForestClassifier(numTrees=50, impurity="gini", maxDepth=10, minInstancesPerNode=1,
+                                      featureSubsetStrategy="6", seed=seed),
+        "LG": LogisticRegression(regParam=penalty(0.001, n_rows), elasticNetParam=0.0, standardization=False),
+    }
+
+
 @dataclass
 class FittedModels:
     models: dict[str, Model]

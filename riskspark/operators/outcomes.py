@@ -99,7 +99,8 @@ def sample_account_month(panel: DataFrame, seed: int = 42, open_only: bool = Tru
     per account, and each snapshot draws one rank by hash, so the work is linear in the rows. With
     `per_snapshot=False` an account draws once. The result is distinct, as the same row may be drawn often.
 
-    The draw is by MOB, so healthy rows sharing the drawn MOB come together.
+    The draw is by MOB, so healthy rows sharing the drawn MOB come together. `panel` is read several
+    times; materialise one that is costly to derive.
     """
     later = (panel.groupBy("AccountNumber", "MOB").agg(F.count("*").alias("__n"), F.max("Ever90").alias("Ever90_12M"))
                   .filter("__n = 1").select("AccountNumber", (F.col("MOB") - 12).alias("MOB"), "Ever90_12M"))

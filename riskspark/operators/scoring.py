@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.dates import DateLike, as_date
 from riskspark.functions.scalars import cap, logistic, round_half_even
-from riskspark.operators.keyed import small_side
+from riskspark.operators.keyed import attach
 
 
 @dataclass(frozen=True)
@@ -116,11 +116,11 @@ def assign_stage(df: DataFrame, score: str = "LifetimeScore", labels: bool = Fal
 def macro_overlay(df: DataFrame, instrument: DataFrame, apply: bool = True) -> DataFrame:
     """Multiply the behaviour score by the month's macro instrument; a missing one counts as 1.
 
-    The instrument has one row per month and is broadcast once its size is checked. With `apply=False`
-    the factor is only attached and the score stays as it is.
+    The instrument is written first, so the planner broadcasts it by its known size, or shuffles a large
+    one. With `apply=False` the factor is only attached and the score stays as it is.
     """
     months = instrument.select(F.col("Date").alias("SnapshotDate"), F.col("InstrumentRollingMean").alias("__macro"))
-    joined = df.join(small_side(months), "SnapshotDate", "left")
+    joined = attach(df, months, ["SnapshotDate"])
     factor = F.coalesce(F.col("__macro"), F.lit(1.0))
     joined = joined.withColumn("MacroFactor", factor).drop("__macro")
     if not apply:

@@ -121,6 +121,7 @@ def test_fit_and_score(spark):
 def test_default_estimators_fit(spark):
     fitted = ml.fit_models(tape(spark, 300), estimators={k: v for k, v in ml.default_estimators(300).items() if k != "GradientBoostingClassifier"}, folds=0)
     ranks = ml.model_importances(fitted.models, ml.FEATURES, spark)
+    assert {type(e).__name__ for e in ml.importance_estimators(300).values()} == {"GBTClassifier", "RandomForestClassifier", "LogisticRegression"}
     assert ranks.count() == 12 and set(fitted.models) == {"RandomForestClassifier", "DecisionTreeClassifier", "LogisticRegression"}
 
 
