@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from riskspark.functions.dates import DateLike, full_years
 from riskspark.functions.scalars import fill_number, fill_text, replace_infinite
-from riskspark.operators.keyed import attach, first_per_key, prefer_flagged
+from riskspark.operators.keyed import first_per_key, prefer_flagged
+from riskspark.session import materialise
 
 DAYS_BEFORE = 30
 DAYS_WITHOUT_DISBURSAL = 60
@@ -100,76 +101,82 @@ def _sides(apps: DataFrame, reports: DataFrame, report_id: str) -> tuple[DataFra
     return _with_window(apps.withColumnsRenamed({c: f"{c}1" for c in shared})), reports
 
 
-def _best_report(apps: DataFrame, daily: DataFrame, best: Column) -> DataFrame:
-    """For each distinct (SSN, window) the best of the reports dated inside it, as struct `__best`.
+def report_choices(apps: DataFrame, reports: DataFrame, report_id: str = "jsonID") -> DataFrame:
+    """For each distinct (SSN, window) the newest and the lowest-scored of the reports dated inside it.
 
-    `daily` holds one report per (SSN, Date). Windows are cut into calendar months, so the join is an
-    equi join on (SSN, month): one person with very many reports is spread over months, each month has
-    at most 31 of them, and each report meets a window exactly once.
+    Reports are first reduced to one row per (SSN, day). Windows are cut into calendar months, so the
+    join is an equi join on (SSN, month): one person with very many reports is spread over months, each
+    month has at most 31 of them, and each report meets a window exactly once. The result holds keys
+    only and is written, so that a hot window can be split when it is joined back.
     """
+    apps, reports = _sides(apps, reports, report_id)
+    # Structs compare field by field; the day and the id are negated so that the minimum is the newest.
+    scored = F.when(F.col("UCScore").isNotNull(), F.struct(F.col("UCScore").alias("score"), (-F.col("__id")).alias("neg")))
+    daily = reports.groupBy("SSN", "Date").agg(F.max("__id").alias("id"), F.min(scored).alias("day"))
     windows = apps.select("SSN", "__lo", "__hi").filter("__lo <= __hi").distinct()
     months = F.sequence(F.trunc("__lo", "month"), F.trunc("__hi", "month"), F.expr("interval 1 month"))
     windows = windows.withColumn("__month", F.explode(months))
-    reports = daily.withColumn("__month", F.trunc("Date", "month"))
-    hits = windows.join(reports, ["SSN", "__month"]).filter(F.col("Date").between(F.col("__lo"), F.col("__hi")))
-    return hits.groupBy("SSN", "__lo", "__hi").agg(best.alias("__best"))
+    daily = daily.withColumn("__month", F.trunc("Date", "month"))
+    hits = windows.join(daily, ["SSN", "__month"]).filter(F.col("Date").between(F.col("__lo"), F.col("__hi")))
+    age = (-F.unix_date("Date")).alias("age")
+    lowest = F.when(F.col("day").isNotNull(), F.struct(F.col("day.score").alias("score"), age, F.col("day.neg").alias("neg")))
+    choices = hits.groupBy("SSN", "__lo", "__hi").agg(F.max(F.struct("Date", "id")).alias("__newest"), F.min(lowest).alias("__lowest"))
+    return materialise(choices, "report-choices")
+
 
+def _fetch(picked: DataFrame, reports: DataFrame, report_id: str, how: str) -> DataFrame:
+    """The chosen report's columns; only here do the wide reports move."""
+    rows = picked.drop("__newest", "__lowest", "__lo", "__hi")
+    return rows.join(reports, ["SSN", "Date", "__id"], how).withColumnRenamed("__id", report_id)
 
-def credit_report_asof(apps: DataFrame, reports: DataFrame, report_id: str = "jsonID") -> DataFrame:
+
+def credit_report_asof(apps: DataFrame, reports: DataFrame, report_id: str = "jsonID",
+                       choices: DataFrame | None = None) -> DataFrame:
     """Each (account, person) with the newest credit report around the application, if any.
 
     A report counts from 30 days before the application was received until disbursal, or until 60 days
-    after where nothing was disbursed. Keys and dates are matched first; the wide report is fetched once,
-    for the winners only. `report_id` identifies a report and breaks ties (larger wins).
+    after where nothing was disbursed. `report_id` identifies a report and breaks ties (larger wins).
+    `choices` may be shared with `credit_report_min_score`.
     """
+    choices = report_choices(apps, reports, report_id) if choices is None else choices
     apps, reports = _sides(apps, reports, report_id)
-    daily = reports.groupBy("SSN", "Date").agg(F.max("__id").alias("__id"))
-    best = _best_report(apps, daily, F.max(F.struct("Date", "__id")))
-    matched = attach(apps, best, ["SSN", "__lo", "__hi"])
-    order = [F.col("__best.Date").desc_nulls_last(), F.col("ApplicationID")]
+    matched = apps.join(choices, ["SSN", "__lo", "__hi"], "left")
+    order = [F.col("__newest.Date").desc_nulls_last(), F.col("ApplicationID")]
     picked = first_per_key(matched, ["AccountNumber", "SSN"], order)
-    picked = picked.withColumns({"Date": F.col("__best.Date"), "__id": F.col("__best.__id")})
-    return (picked.drop("__best", "__lo", "__hi").join(reports, ["SSN", "Date", "__id"], "left")
-                  .withColumnRenamed("__id", report_id))
+    return _fetch(picked.withColumns({"Date": F.col("__newest.Date"), "__id": F.col("__newest.id")}), reports, report_id, "left")
 
 
-def credit_report_min_score(apps: DataFrame, reports: DataFrame, score: str = "UCScore",
-                            report_id: str = "jsonID") -> DataFrame:
+def credit_report_min_score(apps: DataFrame, reports: DataFrame, report_id: str = "jsonID",
+                            choices: DataFrame | None = None) -> DataFrame:
     """Each account with its lowest-scored report in the window, over all its applicants.
 
     Ties go to the newest report, then the lowest application, then the largest report id. Accounts
     without a scored report are left out.
     """
-    # Structs compare field by field; the day and the id are negated so that the minimum is the newest.
-    age = (-F.unix_date("Date")).alias("__age")
+    choices = report_choices(apps, reports, report_id) if choices is None else choices
     apps, reports = _sides(apps, reports, report_id)
-    daily = reports.filter(F.col(score).isNotNull()).groupBy("SSN", "Date").agg(
-        F.min(F.struct(F.col(score).alias("__score"), (-F.col("__id")).alias("__neg"))).alias("__day"))
-    pick = F.min(F.struct(F.col("__day.__score").alias("__score"), age, F.col("__day.__neg").alias("__neg")))
-    best = _best_report(apps, daily, pick)
-    matched = attach(apps, best, ["SSN", "__lo", "__hi"], "inner")
-    order = [F.col("__best.__score"), F.col("__best.__age"), F.col("ApplicationID"), F.col("__best.__neg")]
+    matched = apps.join(choices.filter("__lowest is not null"), ["SSN", "__lo", "__hi"])
+    order = [F.col("__lowest.score"), F.col("__lowest.age"), F.col("ApplicationID"), F.col("__lowest.neg")]
     picked = first_per_key(matched, ["AccountNumber"], order).withColumns({
-        "Date": F.date_from_unix_date(-F.col("__best.__age")), "__id": -F.col("__best.__neg")})
-    return (picked.drop("__best", "__lo", "__hi").join(reports, ["SSN", "Date", "__id"])
-                  .withColumnRenamed("__id", report_id))
+        "Date": F.date_from_unix_date(-F.col("__lowest.age")), "__id": -F.col("__lowest.neg")})
+    return _fetch(picked, reports, report_id, "inner")
 
 
-def main_applicants(apps: DataFrame, reports: DataFrame, outcome: DataFrame) -> DataFrame:
+def main_applicants(apps: DataFrame, reports: DataFrame, outcome: DataFrame, choices: DataFrame | None = None) -> DataFrame:
     """Sole main applicants of disbursed loans, with early outcome and newest report.
 
     A full join filtered on the application side is a left join from the applications.
     """
     chosen = apps.filter((F.col("IsMainApplicant") == 1) & (F.col("HasCoapp") == 0) & (F.col("Status") == "DISBURSED"))
     known = outcome.select("AccountNumber", "DisbursedDate", "Ever30", "Ever90")
-    return credit_report_asof(chosen.join(known, ["AccountNumber", "DisbursedDate"], "left"), reports)
+    return credit_report_asof(chosen.join(known, ["AccountNumber", "DisbursedDate"], "left"), reports, choices=choices)
 
 
-def co_applicants(apps: DataFrame, reports: DataFrame, outcome: DataFrame) -> DataFrame:
+def co_applicants(apps: DataFrame, reports: DataFrame, outcome: DataFrame, choices: DataFrame | None = None) -> DataFrame:
     """Disbursed loans with two applicants, on the report with the lowest score, with the outcome."""
     chosen = apps.filter((F.col("HasCoapp") == 1) & (F.col("Status") == "DISBURSED"))
     known = outcome.select("AccountNumber", "Ever90")
-    return credit_report_min_score(chosen, reports).join(known, "AccountNumber")
+    return credit_report_min_score(chosen, reports, choices=choices).join(known, "AccountNumber")
 
 
 def application_type(main: DataFrame, co: DataFrame) -> DataFrame:
