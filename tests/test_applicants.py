@@ -1,5 +1,4 @@
 from helpers import day, frame, rows
-from pyspark.sql import functions as F
 
 from riskspark.operators import applicants as a
 
