@@ -6,7 +6,7 @@ fractions meet: words are moved from one to the other, the direction drawn with
 expected copies, until one fraction becomes 0 or 1. That one is decided, the other goes on. A small group is
 folded this way down to one undecided document; the groups' residuals meet in groups of the next level, and so
 on, a reduction tree whose last document per source is decided by its fraction. A source misses its target by
-less than the words of that one document.
+less than the words of that one document; as longer documents meet first, it is a short one where there are any.
 
 Draws are hashes of the ids met and a seed, so reruns agree and a recomputed task decides the same.
 
@@ -95,16 +95,16 @@ def pivotal_round(units: DataFrame, seed: int = 0, fan_in: int = FAN_IN) -> Data
     kind = "struct<key: bigint, p: double, w: double>"
     nothing = f"named_struct('a', cast(null as {kind}), 'done', cast(array() as array<{kind}>))"
     level = materialise(units.select("group", F.struct("key", "p", "w").alias("x")), "pivotal-units")
-    counts = level.groupBy("group").count()
-    most = counts.agg(F.max("count")).first()[0] or 0
-    sized, decided, depth = counts, [], 0
+    sized = level.groupBy(F.col("group").alias("of")).count()
+    most = sized.agg(F.max("count")).first()[0] or 0
+    decided, depth = [], 0
     if not most:
         return units.select("group", "key", F.lit(0).alias("taken")).limit(0)
     while True:
         parts = F.ceil(F.col("count") / fan_in).cast("long")
-        dealt = level.join(sized, level["group"].eqNullSafe(sized["group"])).select(level["group"], "x", parts.alias("parts"))
+        dealt = level.join(sized, F.col("group").eqNullSafe(F.col("of"))).select("group", "x", parts.alias("parts"))
         part = F.pmod(F.xxhash64(F.col("x.key"), F.lit(seed + depth)), F.col("parts"))
-        meeting = dealt.groupBy("group", "parts", part.alias("part")).agg(F.sort_array(F.collect_list(F.struct(F.xxhash64(F.col("x.key"), F.lit(seed + 1000 + depth)).alias("h"), "x"))).alias("all"))
+        meeting = dealt.groupBy("group", "parts", part.alias("part")).agg(F.sort_array(F.collect_list(F.struct((-F.col("x.w")).alias("heavy"), F.xxhash64(F.col("x.key"), F.lit(seed + 1000 + depth)).alias("h"), "x"))).alias("all"))
         folded = meeting.select("group", F.aggregate("all", F.expr(nothing), lambda s, e: _meet(s, e["x"], seed)).alias("f"))
         folded = materialise(folded, f"pivotal-{depth}")
         decided.append(folded.select("group", F.explode("f.done").alias("x")))
@@ -114,7 +114,7 @@ def pivotal_round(units: DataFrame, seed: int = 0, fan_in: int = FAN_IN) -> Data
             decided.append(rest.select("group", F.struct(F.col("x.key").alias("key"), last.alias("p"), F.col("x.w").alias("w")).alias("x")))
             break
         level, depth = rest, depth + 1
-        sized = level.groupBy("group").count()
+        sized = level.groupBy(F.col("group").alias("of")).count()
         most = sized.agg(F.max("count")).first()[0] or 0
         if not most:
             break
@@ -132,7 +132,8 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = M
     goal = materialise(targets(totals, weights, cap, total_share), "mix-targets")
     # One row for each different document; m rows carry it.
     units = sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("m"))
-    units = units.join(goal, units["source"].eqNullSafe(goal["source"])).drop(goal["source"])
+    goal = goal.select(F.col("source").alias("of"), "source_size", "target")
+    units = units.join(goal, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
     key = F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed), "source", "size")
     units = units.withColumn("rate", F.least(rate, F.lit(float(cap)))).withColumn("whole", F.floor(F.col("rate") + NEARLY)).withColumn("p", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0))).withColumn("key", key)
