@@ -9,10 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import ads, blockmax, bpe, pfor, pivotal
-from riskspark.llm.text import table
+from riskspark.llm import ads, blockmax, bpe, bytecnn, dart, pfor, pivotal
+from riskspark.llm.text import held_out, table
 from riskspark.session import shared_folder
 
+QUALITY_CUT = 0.3
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -26,6 +28,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def quality_net(spark: SparkSession, docs: DataFrame, sf_dir: str) -> bytecnn.Net:
+    """Trained on the labelled ones of these documents, without the held-out ids."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("__id"), F.col("quality").alias("__label"))
+    rows = docs.filter(~held_out()).join(labels, F.col("doc_id") == F.col("__id"))
+    return bytecnn.train(rows.select("text", F.col("__label").alias("label")))
+
+
 @query("op1_adaptive_dimension_scan")
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
@@ -64,3 +73,15 @@ def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = pivotal.mix_plan(table(spark, sf_dir, "documents"))
     each = plan.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
     return each.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op8_dart_min_hash")
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_byte_network_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = docs.select("doc_id", held_out().alias("held_out"), bytecnn.score(F.col("text"), quality_net(spark, docs, sf_dir)).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
