@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import ads, blockmax, bpe, bytecnn, dart, pfor, pivotal
+from riskspark.llm import ads, blockmax, bpe, bytecnn, dart, pfor, pii, pivotal
 from riskspark.llm.text import held_out, table
 from riskspark.session import shared_folder
 
@@ -85,3 +85,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = docs.select("doc_id", held_out().alias("held_out"), bytecnn.score(F.col("text"), quality_net(spark, docs, sf_dir)).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
+@query("op7_weak_supervision_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:4])]
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
