@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import ads, blockmax, bpe, bytecnn, dart, pfor, pii, pivotal
+from riskspark.llm import ads, blockmax, bpe, bytecnn, centroid, dart, pfor, pii, pivotal
+from riskspark.llm import edits as edits_op
 from riskspark.llm.text import held_out, table
 from riskspark.session import shared_folder
 
@@ -92,3 +93,22 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:4])]
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
+@query("op4_nearest_centroid_language")
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = centroid.predict(F.col("text"), centroid.train(docs.filter(~held_out())))
+    scored = docs.select("doc_id", held_out().alias("held_out"), found.alias("f"))
+    return scored.select("doc_id", "held_out", F.col("f.lang").alias("lang_pred"), "f.score", "f.rejected")
+
+
+@query("op9_edit_aware_counts")
+def edited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document is counted, then edited: a line before it, ten characters in its middle, words after it."""
+    length = F.coalesce(F.length("text"), F.lit(0))
+    middle = F.floor(length / 2).cast("int")
+    edit = lambda at, end, new: F.struct(at.alias("at"), end.alias("end"), F.lit(new).alias("text"))
+    edits = F.array(edit(middle, middle + 10, "12 more'll"), edit(F.lit(0), F.lit(0), "Edited\n"), edit(length + 17, length + 17, " the end."))
+    counts = edits_op.counts(F.col("text"), edits, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return table(spark, sf_dir, "documents").select("doc_id", counts.alias("c")).select("doc_id", "c.*")

@@ -38,14 +38,14 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, starts - starts[0]
 
 
-def pieces(texts: pa.Array, most: int = PIECE_BYTES) -> Iterator[pa.Array]:
-    """Consecutive runs of rows of about `most` bytes; always at least one row."""
+def pieces(texts: pa.Array, most: int = PIECE_BYTES, rows: int = 1 << 14) -> Iterator[pa.Array]:
+    """Consecutive runs of rows of about `most` bytes and at most `rows` rows; always at least one row."""
     if not len(texts):
         return
     _, starts = raw(texts)
     at = 0
     while at < len(texts):
-        end = max(at + 1, int(np.searchsorted(starts, starts[at] + most, side="right")) - 1)
+        end = min(max(at + 1, int(np.searchsorted(starts, starts[at] + most, side="right")) - 1), at + rows)
         yield texts.slice(at, end - at)
         at = end
 
