@@ -7,7 +7,7 @@ compared with those of the centroid's own training texts: a text further away th
 margin, is rejected - the flag `rejected` says so beside the language.
 
 Training uses a bounded sample: at most SAMPLE_ROWS texts in all, equally many of each language, those with the
-smallest hash; texts are whole. A language is any non-null label. Without training rows every text is `und`.
+smallest hash of the id; texts are whole, and those without a letter teach nothing. A language is any non-null label. Without training rows every text is `und`.
 Texts that are NULL or hold no letter are `und` with score 0. Ties go to the language first by code point.
 Repeated rows get equal results; empty tables give empty ones. Further columns pass through untouched.
 """
@@ -20,10 +20,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.text import pieces, raw, utf8
+from riskspark.llm.text import bounded_sample, pieces, raw, utf8
 
 FEATURES = 4096
 #: The bound of the training sample.
@@ -96,20 +96,19 @@ def fit(counts: np.ndarray, languages: list[str], seed: int = 3) -> Centroids:
     return Centroids(idf, np.concatenate(centres) if centres else np.empty((0, FEATURES), np.float32), names, np.array(reach))
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Centroids:
-    """Learn from the rows with a language and a letter; what reaches the driver is bounded by the sample."""
-    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    n = rows.select("lang").distinct().count()
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    drawn = rows.withColumn("h", F.xxhash64("text")).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= max(1, sample_rows // max(1, n)))
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Centroids:
+    """Learn from the documents with a language; what reaches the driver is bounded by the sample."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("group"))
+    n = rows.filter("group is not null").select("group").distinct().count()
+    drawn = bounded_sample(docs, rows, max(1, sample_rows // max(1, n)), id_col, text_col).filter(F.col("text").rlike(r"\p{L}"))
 
     @F.arrow_udf("binary")
     def counted(batch: pa.Array) -> pa.Array:
         return pa.array([x.tobytes() for part in pieces(utf8(batch), POSITIONS_AT_ONCE, 512) for x in gram_counts(part)], pa.binary())
 
-    got = drawn.select("lang", "h", counted("text").alias("counts")).orderBy("lang", "h").toArrow()
+    got = drawn.select("group", "id", counted("text").alias("counts")).orderBy("group", "id").toArrow()
     counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), np.float32).reshape(-1, FEATURES)
-    return fit(counts, got.column("lang").to_pylist())
+    return fit(counts, got.column("group").to_pylist())
 
 
 def predict(text: Column, model: Centroids) -> Column:

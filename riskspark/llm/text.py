@@ -7,9 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskspark.session import materialise
+
 #: Bytes of text that one step of an operator works on; a longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
 
@@ -23,6 +25,25 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))
 
 
+def bounded_sample(docs: DataFrame, groups: DataFrame, per_group: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(group, id, text) of at most `per_group` ids of each group, those with the smallest hash.
+
+    `groups` has rows of `id` and `group`. Ids are drawn first: a threshold on the hash, from the group's size,
+    leaves about twice the ids wanted, of which each group's first are taken. Only their texts are then looked up,
+    by a join whose one side has at most groups x per_group rows; the texts are not exchanged. Of a repeated id
+    the least text counts.
+    """
+    rows = groups.filter("id is not null and group is not null").select("id", "group").distinct()
+    sizes = materialise(rows.groupBy("group").agg(F.count("*").alias("c")), "sample-sizes")
+    draw = F.shiftrightunsigned(F.xxhash64("id", F.lit(9)), 11) / F.lit(float(1 << 53))
+    likely = rows.withColumn("h", draw).join(sizes, "group").filter(F.col("h") * F.col("c") < 2 * per_group + 100)
+    first = Window.partitionBy("group").orderBy("h", "id")
+    chosen = likely.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_group)
+    chosen = materialise(chosen.select("id", "group"), "sample-ids")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    return texts.groupBy("group", "id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+
+
 def utf8(texts: pa.Array) -> pa.Array:
     """The texts as large strings, NULL as empty."""
     if isinstance(texts, pa.ChunkedArray):
