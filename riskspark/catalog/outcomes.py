@@ -15,9 +15,10 @@ from riskspark.plans.development import TAPE
 from riskspark.session import materialise
 
 OUTCOME = """
- igen as (select a.AccountNumber, a.SnapshotDate, a.CurrentAmount, a.Ever90, a.IsOpen, a.AccountStatus, a.Stage,
-    b.Ever90 as Ever90_12, b.CurrentAmount as CurrentAmount_12
-  from model_tape a join model_tape b on a.AccountNumber = b.AccountNumber and a.SnapshotDate = cast(b.SnapshotDate - interval 12 month as date))"""
+ later as (select panel.AccountNumber, panel.SnapshotDate, panel.CurrentAmount, panel.Ever90, panel.IsOpen, panel.AccountStatus, panel.Stage,
+    year_on.Ever90 as Ever90_12, year_on.CurrentAmount as CurrentAmount_12
+  from model_tape panel, model_tape year_on
+  where year_on.AccountNumber = panel.AccountNumber and cast(year_on.SnapshotDate - interval 12 month as date) = panel.SnapshotDate)"""
 CARRY = ("IsOpen", "AccountStatus", "Stage")
 
 
@@ -41,7 +42,7 @@ def _rounded(df):
     return df.withColumns({c: F.round(c, 9) for c in ("rate", "rolling")})
 
 
-@query("outcome_12m", "with " + OUTCOME + " select * from igen", "model_tape")
+@query("outcome_12m", "with " + OUTCOME + " select * from later", "model_tape")
 def outcome_12m(t):
     return o.outcome_12m(t.model_tape, CARRY)
 
@@ -52,42 +53,42 @@ def outcome_12m_month_end(t):
     return o.outcome_12m(t.model_tape, month_end=True)
 
 
-@query("default_rate_by_month", "with " + OUTCOME + ", live as (select * from igen where IsOpen = 1 and Stage <> 3 and AccountStatus <> 'FROZEN')," + _rates("live", "Ever90_12"), "model_tape")
+@query("default_rate_by_month", "with " + OUTCOME + ", live as (select * from later where IsOpen = 1 and Stage <> 3 and AccountStatus <> 'FROZEN')," + _rates("live", "Ever90_12"), "model_tape")
 def default_rate_by_month(t):
     rows = o.outcome_12m(t.model_tape, CARRY).filter((F.col("IsOpen") == 1) & (F.col("Stage") != 3) & (F.col("AccountStatus") != "FROZEN"))
     return _rounded(o.default_rate_by_month(rows))
 
 
-@query("default_rate_stage_1", "with " + OUTCOME + ", live as (select * from igen where IsOpen = 1 and Stage = 1)," + _rates("live", "Ever90_12"), "model_tape")
+@query("default_rate_stage_1", "with " + OUTCOME + ", live as (select * from later where IsOpen = 1 and Stage = 1)," + _rates("live", "Ever90_12"), "model_tape")
 def default_rate_stage_1(t):
     rows = o.outcome_12m(t.model_tape, CARRY).filter(F.col("IsOpen") == 1)
     return _rounded(o.default_rate_by_month(rows, stages=[1]))
 
 
-@query("default_rate_stage_2", "with " + OUTCOME + ", live as (select * from igen where IsOpen = 1 and Stage = 2)," + _rates("live", "Ever90_12"), "model_tape")
+@query("default_rate_stage_2", "with " + OUTCOME + ", live as (select * from later where IsOpen = 1 and Stage = 2)," + _rates("live", "Ever90_12"), "model_tape")
 def default_rate_stage_2(t):
     rows = o.outcome_12m(t.model_tape, CARRY).filter(F.col("IsOpen") == 1)
     return _rounded(o.default_rate_by_month(rows, stages=[2]))
 
 
-@query("default_rate_stage_1_2", "with " + OUTCOME + ", live as (select * from igen where IsOpen = 1 and Stage in (1, 2))," + _rates("live", "Ever90_12"), "model_tape")
+@query("default_rate_stage_1_2", "with " + OUTCOME + ", live as (select * from later where IsOpen = 1 and Stage in (1, 2))," + _rates("live", "Ever90_12"), "model_tape")
 def default_rate_stage_1_2(t):
     rows = o.outcome_12m(t.model_tape, CARRY).filter(F.col("IsOpen") == 1)
     return _rounded(o.default_rate_by_month(rows, stages=[1, 2]))
 
 
-@query("default_rate_without_earlier_default", "with " + OUTCOME + ", live as (select * from igen where IsOpen = 1 and Ever90 = 0)," + _rates("live", "Ever90_12", 6), "model_tape")
+@query("default_rate_without_earlier_default", "with " + OUTCOME + ", live as (select * from later where IsOpen = 1 and Ever90 = 0)," + _rates("live", "Ever90_12", 6), "model_tape")
 def default_rate_without_earlier_default(t):
     rows = o.outcome_12m(t.model_tape, CARRY).filter((F.col("IsOpen") == 1) & (F.col("Ever90") == 0))
     return _rounded(o.default_rate_by_month(rows, window=6))
 
 
 @query("monthly_counts", """
-  with c as (select last_day(DisbursedDate) as Month, count(*) as n from model_tape where Ever90_12M = 1 and AccountNumber % 10 = 0 group by 1),
+  with c as (select last_day(DisbursedDate) as Month, count(*) as n from model_tape where Ever90_12M = 1 group by 1),
   m as (select last_day(cast(unnest(generate_series(date_trunc('month', min(Month)), date_trunc('month', max(Month)), interval 1 month)) as date)) as Month from c),
   f as (select m.Month, coalesce(n, 0) as n from m left join c on c.Month = m.Month)
   select Month, n, round(n / 6444.0, 9) as share, round(case when count(*) over w = 4 then avg(n / 6444.0) over w end, 9) as rolling
-  from f window w as (order by Month rows between 3 preceding and current row)""".replace(" and AccountNumber % 10 = 0", ""), "model_tape")
+  from f window w as (order by Month rows between 3 preceding and current row)""", "model_tape")
 def monthly_counts(t):
     df = o.monthly_counts(t.model_tape.filter("Ever90_12M = 1"), "DisbursedDate", share_of=6444, window=4)
     return df.withColumns({c: F.round(c, 9) for c in ("share", "rolling")})
@@ -158,7 +159,7 @@ def split_by_positive_share(t):
 @query("replicate_to_length", """
   with b as (select AccountNumber, MOB, SnapshotDate, cast(year(DisbursedDate) * 100 + month(DisbursedDate) as int) as YearMonth from model_tape where Ever90_12M = 1),
   i as (select *, row_number() over (partition by YearMonth order by AccountNumber, MOB, SnapshotDate) as i, count(*) over (partition by YearMonth) as m from b)
-  select AccountNumber, MOB, SnapshotDate, YearMonth, cast(unnest(generate_series(1, 170 // m + case when i <= 170 % m then 1 else 0 end)) as int) as Copy from i where i <= 170""", "model_tape")
+  select AccountNumber, MOB, SnapshotDate, YearMonth, cast(unnest(generate_series(1, case when m >= 170 then 1 else 170 // m + case when i <= 170 % m then 1 else 0 end end)) as int) as Copy from i""", "model_tape")
 def replicate_to_length(t):
     rows = t.model_tape.filter("Ever90_12M = 1")
     df = s.replicate_to_length(rows.select("AccountNumber", "MOB", "SnapshotDate", "DisbursedDate"), year_month(F.col("DisbursedDate")))
@@ -214,7 +215,7 @@ def sampled_tape(t):
   train as (select * from n where rn < (select min(rn) filter (c >= round_even(total * 0.7, 0)) from n)),
   b as (select *, cast(year(DisbursedDate) * 100 + month(DisbursedDate) as int) as YearMonth from train where Ever90_12M = 1),
   i as (select *, row_number() over (partition by YearMonth order by AccountNumber, MOB, SnapshotDate) as i, count(*) over (partition by YearMonth) as m from b),
-  copies as (select AccountNumber, MOB, SnapshotDate, Ever90_12M, YearMonth, unnest(generate_series(1, 170 // m + case when i <= 170 % m then 1 else 0 end)) as k from i where i <= 170)
+  copies as (select AccountNumber, MOB, SnapshotDate, Ever90_12M, YearMonth, unnest(generate_series(1, case when m >= 170 then 1 else 170 // m + case when i <= 170 % m then 1 else 0 end end)) as k from i)
   select AccountNumber, MOB, SnapshotDate, Ever90_12M, YearMonth from copies
   union all select AccountNumber, MOB, SnapshotDate, Ever90_12M, null from train where Ever90_12M = 0""", "model_tape")
 def training_set(t):

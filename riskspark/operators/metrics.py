@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -50,8 +50,11 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, *by: str)
 
 
 def score_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row per distinct score: positives and negatives at it (pos, neg) and at or below it (cum_*)."""
-    rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    """One row per distinct score: positives and negatives at it (pos, neg) and at or below it (cum_*).
+
+    Rows whose score is NULL or NaN have no place in the order and are left out.
+    """
+    rows = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
     per_score = rows.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     return running_totals(per_score, "score", ["score"], ["pos", "neg"])
@@ -101,13 +104,17 @@ def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def compare_scores(df: DataFrame, label: str, scores: Sequence[str]) -> DataFrame:
-    """AUC, Gini and average precision of several scores on the same rows."""
+    """AUC, Gini and average precision of several scores on the same rows: one curve each, both figures from it."""
     out = None
     for s in scores:
-        # Each frame is one row.
-        auc = roc_auc_gini(df, label, s)
-        row = auc.select(F.lit(s).alias("score_name"), "auc", "gini",
-                         average_precision(df, label, s).scalar().alias("average_precision"))
+        curve = score_curve(df, label, s)
+        p, n = _totals(curve)
+        tp, fp = p - (F.col("cum_pos") - F.col("pos")), n - (F.col("cum_neg") - F.col("neg"))
+        area = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2))
+        step = F.try_divide(F.col("pos").cast("double"), p) * F.try_divide(tp, tp + fp)
+        sums = curve.agg(area.alias("area"), F.sum("pos").cast("double").alias("p"), F.sum("neg").cast("double").alias("n"), F.sum(step).alias("average_precision"))
+        auc = F.try_divide(F.col("area"), F.col("p") * F.col("n"))
+        row = sums.select(F.lit(s).alias("score_name"), auc.alias("auc"), (2 * auc - 1).alias("gini"), "average_precision")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -171,26 +178,35 @@ def highly_correlated(df: DataFrame, features: Sequence[str], limit: float = HIG
 
 
 def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """One-way F statistic of each feature over the classes, from counts, sums and sums of squares."""
+    """One-way F statistic of each feature over the classes.
+
+    From each class's count, mean and variance, which merge without the cancelling that sums of squares suffer
+    on large means.
+    """
     features = list(features)
-    rows = df.filter(F.col(label).isNotNull())
-    aggs = [F.count("*").alias("n")]
+    aggs = []
     for i, f in enumerate(features):
         x = F.col(f).cast("double")
-        aggs += [F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}")]
-    per_class = rows.groupBy(label).agg(*aggs)
-    structs = [F.struct(F.lit(f).alias("feature"), F.col(f"s{i}").alias("s"), F.col(f"q{i}").alias("q")) for i, f in enumerate(features)]
-    long = per_class.select("n", F.inline(F.array(*structs)))
-    total = long.groupBy("feature").agg(
-        F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"),
-        F.sum(F.col("s") * F.col("s") / F.col("n")).alias("within"))
-    between = F.col("within") - F.col("s") * F.col("s") / F.col("n")
-    error = F.col("q") - F.col("within")
-    f_value = F.try_divide(between / (F.col("k") - 1), error / (F.col("n") - F.col("k")))
-    return total.select("feature", f_value.alias("f_score"))
-
-
-def feature_importance_rank(importances: DataFrame, drop: Sequence[str] = ("AccountNumber", "Gender")) -> DataFrame:
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
+    per_class = df.filter(F.col(label).isNotNull()).groupBy(label).agg(*aggs)
+    structs = [F.struct(F.lit(f).alias("feature"), *[F.col(f"{c}{i}").alias(c) for c in "nmv"]) for i, f in enumerate(features)]
+    long = per_class.select(F.inline(F.array(*structs))).filter("n > 0")
+    classes = long.groupBy("feature").agg(F.collect_list(F.struct("n", "m", "v")).alias("classes"))
+
+    def total(of: Callable[[Column], Column]) -> Column:
+        return F.aggregate("classes", F.lit(0.0), lambda a, c: a + of(c))
+
+    n, k = total(lambda c: c["n"].cast("double")), F.size("classes")
+    # Means are taken from the first class's, so that a large common part drops out before it is squared.
+    origin = F.element_at("classes", 1)["m"]
+    centre = total(lambda c: c["n"] * (c["m"] - origin)) / n
+    between = total(lambda c: c["n"] * F.pow(c["m"] - origin - F.col("centre"), F.lit(2.0)))
+    error = total(lambda c: c["n"] * c["v"])
+    f_value = F.try_divide(between / (k - 1), error / (n - k))
+    return classes.withColumn("centre", centre).select("feature", F.when(k > 1, f_value).alias("f_score"))
+
+
+def feature_importance_rank(importances: DataFrame, drop: Sequence[str] = ("AccountNumber", "Gender", "degenerate_application_id")) -> DataFrame:
     """Normalise each method's importances to sum 1, add them per feature, largest first."""
     sums = importances.groupBy("method").agg(F.sum("importance").alias("__sum"))
     norm = importances.join(sums, "method").filter(~F.col("feature").isin(*drop))

@@ -32,6 +32,10 @@ def assemble(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(typed)
 
 
+# Fixed value: the most iterations of a logistic fit; the tolerance ends it long before.
+LOGISTIC = {"maxIter": 10_000_000, "tol": 1e-9}
+
+
 def penalty(c: float, weight_sum: float) -> float:
     """Spark's regParam for an inverse penalty `c`: Spark averages the loss, so the penalty is per row."""
     return 1.0 / (c * weight_sum)
@@ -48,7 +52,7 @@ def default_estimators(n_rows: int, seed: int = 42) -> dict[str, Estimator]:
             minInfoGain=0.01, seed=seed),
         "DecisionTreeClassifier": DecisionTreeClassifier(impurity="gini", maxDepth=7, minInstancesPerNode=7, seed=seed),
         "LogisticRegression": LogisticRegression(
-            regParam=penalty(0.001, n_rows), elasticNetParam=0.0, fitIntercept=False, standardization=False),
+            regParam=penalty(0.001, n_rows), elasticNetParam=0.0, fitIntercept=False, standardization=False, **LOGISTIC),
     }
 
 
@@ -59,7 +63,7 @@ def importance_estimators(n_rows: int, seed: int = 42) -> dict[str, Estimator]:
                              featureSubsetStrategy="log2", seed=seed),
         "RFS": RandomForestClassifier(numTrees=50, impurity="gini", maxDepth=10, minInstancesPerNode=1,
                                       featureSubsetStrategy="6", seed=seed),
-        "LG": LogisticRegression(regParam=penalty(0.001, n_rows), elasticNetParam=0.0, standardization=False),
+        "LG": LogisticRegression(regParam=penalty(0.001, n_rows), elasticNetParam=0.0, standardization=False, **LOGISTIC),
     }
 
 
@@ -123,7 +127,7 @@ def calibrate(df: DataFrame, score: str = "Probability_model", label: str = "Eve
     data = assemble(weighted, [score], label).select("features", "label", "__w").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         total = data.agg(F.sum("__w")).first()[0]
-        model = LogisticRegression(weightCol="__w", regParam=penalty(c, total), elasticNetParam=0.0, standardization=False).fit(data)
+        model = LogisticRegression(weightCol="__w", regParam=penalty(c, total), elasticNetParam=0.0, standardization=False, **LOGISTIC).fit(data)
     finally:
         data.unpersist()
     return LogitModel((score,), (float(model.coefficients[0]),), float(model.intercept))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.dates import year_month
-from riskspark.operators.keyed import first_per_key, running_totals
+from riskspark.operators.keyed import attach, first_per_key, running_totals
 from riskspark.operators.outcomes import hash_number
 
 ORDER = ("AccountNumber", "MOB", "SnapshotDate")
@@ -38,22 +38,24 @@ def split_by_positive_share(df: DataFrame, label: str = "Ever90_12M", shares: Se
 
 def replicate_to_length(df: DataFrame, by: Column, n: int = COPIES_PER_MONTH, order: Sequence[str] = ORDER,
                         name: str = "YearMonth") -> DataFrame:
-    """Repeat each group's rows, in order, until it has exactly `n`; a larger group keeps its first `n`.
+    """Repeat each group's rows, in order, until it has exactly `n`; a group of `n` or more rows keeps each once.
 
-    No group needs more than its first `n` rows, so those are picked per map task before the shuffle.
+    Only rows of small groups are numbered: the others are dealt by a hash, so a hot group is many partitions.
+    Rows without a group are kept once.
     """
     df = df.withColumn(name, by)
-    sizes = df.groupBy(name).agg(F.count("*").alias("__m"))
-    rows = first_per_key(df, [name], [F.col(c) for c in order], n, rank_col="__i")
+    rows = attach(df, df.groupBy(name).agg(F.count("*").alias("__m")), [name])
+    short = F.coalesce(F.col("__m") < n, F.lit(False))
+    part = F.when(short, 0).otherwise(F.pmod(F.xxhash64(*order), F.lit(1 << 20)))
+    rows = rows.withColumn("__i", F.row_number().over(Window.partitionBy(name, part).orderBy(*order)))
     extra = F.when(F.col("__i") <= F.lit(n) % F.col("__m"), 1).otherwise(0)
-    copies = F.floor(F.lit(n) / F.col("__m")) + extra
-    rows = rows.join(sizes, name).withColumn("__copies", copies.cast("int")).filter("__copies > 0")
-    return rows.withColumn("Copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__m", "__i", "__copies")
+    copies = F.when(short, F.floor(F.lit(n) / F.col("__m")) + extra).otherwise(1).cast("int")
+    return rows.withColumn("Copy", F.explode(F.sequence(F.lit(1), copies))).drop("__m", "__i").select(*df.columns, "Copy")
 
 
 def balance_by_month(train: DataFrame, label: str = "Ever90_12M", n: int = COPIES_PER_MONTH,
                      order: Sequence[str] = ORDER) -> DataFrame:
-    """All negatives, and each disbursal month's positives repeated to `n`."""
+    """All negatives, and all positives, those of a disbursal month with fewer than `n` repeated to `n`."""
     month = year_month(F.col("DisbursedDate"))
     bad = replicate_to_length(train.filter(F.col(label) == 1), month, n, order).drop("Copy")
     return train.filter(F.col(label) == 0).withColumn("YearMonth", F.lit(None).cast("int")).unionByName(bad)

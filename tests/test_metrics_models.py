@@ -164,3 +164,18 @@ def test_grid_search_equals_single_models(spark):
 def test_rank_grid(spark):
     df = spark.createDataFrame([(0, 0.9, 0.1, 0.5, 0.8), (1, 0.8, 0.0, 0.7, 0.9), (2, 0.1, 0.0, 0.9, 0.9)], "combination int, test_precision double, metric_distance double, test_f1 double, train_accuracy double")
     assert [r.combination for r in ml.rank_grid(df, by_precision=2).collect()] == [1, 0]
+
+
+def test_anova_is_stable_on_large_means(spark):
+    data = [(i % 2, float(i % 7), i % 7 + 1e9) for i in range(1000)]
+    df = spark.createDataFrame(data, "y int, small double, large double")
+    got = {r.feature: r.f_score for r in m.anova_f(df, ["small", "large"], "y").collect()}
+    assert abs(got["small"] - got["large"]) < 1e-3 * max(1, abs(got["small"])) and got["large"] >= 0
+
+
+def test_a_nan_score_has_no_place_in_the_curve(spark):
+    data = [(i % 2, (i * 37 % 100) / 100) for i in range(100)]
+    df = spark.createDataFrame(data, "y int, s double")
+    more = df.unionByName(spark.createDataFrame([(1, float("nan"))], "y int, s double"))
+    assert m.roc_auc_gini(more, "y", "s").collect() == m.roc_auc_gini(df, "y", "s").collect()
+    assert m.average_precision(more, "y", "s").collect() == m.average_precision(df, "y", "s").collect()
