@@ -6,7 +6,7 @@ of WIDTH bytes slide over the learned vectors of the bytes; a filter's largest r
 probability through a logistic unit.
 
 Training is stochastic gradient descent on a bounded sample: at most ROWS_PER_LABEL rows of each label, those
-with the smallest hash of the text, and at most CHUNKS_PER_ROW chunks of a text, spread evenly. The intercept is
+with the smallest hash of the id, and at most CHUNKS_PER_ROW chunks of a text, spread evenly. The intercept is
 then moved to the odds of all labelled rows. Labels are used as given; rows with another label than 0 or 1 are
 left out. With one label only, or no row, the score of every text is the share of label 1 (0.5 without rows).
 
@@ -21,10 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.text import pieces, raw, utf8
+from riskspark.llm.text import bounded_sample, pieces, raw, utf8
 
 CHUNK, OVERLAP, WIDTH, STRIDE, FILTERS, DIMS = 512, 64, 8, 2, 16, 8
 PAD = 256
@@ -138,14 +138,12 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, share: float, seed: int = 5
     return net
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label", rows_per_label: int = ROWS_PER_LABEL) -> Net:
-    """Train on rows of text and label; what reaches the driver is bounded by the sample's parameters."""
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).filter("label in (0, 1)")
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_label: int = ROWS_PER_LABEL) -> Net:
+    """Train on the documents that `labels` (rows of id and label) has; the driver gets a bounded sample."""
+    rows = labels.select("id", F.col("label").cast("int").alias("group")).filter("group in (0, 1)")
+    rows = rows.join(docs.select(F.col(id_col).alias("id")).distinct(), "id")
+    counts = {r["group"]: r["count"] for r in rows.groupBy("group").count().collect()}
     total = sum(counts.values())
-    order = Window.partitionBy("label").orderBy("h", "t")
-    texts = rows.select("label", F.xxhash64("text").alias("h"), F.coalesce("text", F.lit("")).alias("t"))
-    chosen = texts.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= rows_per_label)
 
     @F.arrow_udf("binary")
     def sample(batch: pa.Array) -> pa.Array:
@@ -156,9 +154,10 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
                 out.append(own[np.unique(np.linspace(0, len(own) - 1, CHUNKS_PER_ROW).astype(int))].tobytes())
         return pa.array(out, pa.binary())
 
-    got = chosen.select("label", "h", sample("t").alias("chunks")).orderBy("label", "h").toArrow()
+    chosen = bounded_sample(docs, rows, rows_per_label, id_col, text_col)
+    got = chosen.select("group", "id", sample("text").alias("chunks")).orderBy("group", "id").toArrow()
     bags = [np.frombuffer(x.as_py(), np.int16).reshape(-1, CHUNK) for x in got.column("chunks")]
-    return fit(bags, got.column("label").to_numpy().astype(float), counts.get(1, 0) / total if total else 0.5)
+    return fit(bags, got.column("group").to_numpy().astype(float), counts.get(1, 0) / total if total else 0.5)
 
 
 def score(text: Column, net: Net) -> Column:

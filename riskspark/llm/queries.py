@@ -31,9 +31,8 @@ def query(name: str, sql: str | None = None):
 
 def quality_net(spark: SparkSession, docs: DataFrame, sf_dir: str) -> bytecnn.Net:
     """Trained on the labelled ones of these documents, without the held-out ids."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("__id"), F.col("quality").alias("__label"))
-    rows = docs.filter(~held_out()).join(labels, F.col("doc_id") == F.col("__id"))
-    return bytecnn.train(rows.select("text", F.col("__label").alias("label")))
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    return bytecnn.train(docs, labels.filter(~held_out("id")))
 
 
 @query("op1_adaptive_dimension_scan")
