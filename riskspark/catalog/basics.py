@@ -46,15 +46,14 @@ def read_manual_input(t):
         "Loan account": ("AccountNumber", "long"), "Not paid": ("amount", "double"), "Sold on": ("SaleDate", "date")})
 
 
-@query("append_month", """select AccountNumber, case when SnapshotDate = date '1999-06-30' then 1 else 0 end as revised, SnapshotDate
-  from loan_portfolio where SnapshotDate in (date '1999-05-31', date '1999-06-30')""", "loan_portfolio")
+@query("append_month", """select AccountNumber, case when SnapshotDate = date '2001-08-31' then 1 else 0 end as revised, SnapshotDate
+  from loan_portfolio where SnapshotDate = last_day(SnapshotDate)""", "loan_portfolio")
 def append_month(t):
-    """Two months are written, then the second again: the rerun replaces it."""
+    """All month-ends are written, then the last again: the rerun replaces it."""
     path = _folder(t, "scores")
-    months = t.loan_portfolio.filter(F.col("SnapshotDate").isin(dates.as_date("1999-05-31"), dates.as_date("1999-06-30")))
-    rows = months.select("AccountNumber", F.lit(0).alias("revised"), "SnapshotDate")
+    rows = dates.month_end_rows(t.loan_portfolio).select("AccountNumber", F.lit(0).alias("revised"), "SnapshotDate")
     tables.append_month(rows, path, "SnapshotDate")
-    tables.append_month(rows.filter(F.col("SnapshotDate") == dates.as_date("1999-06-30")).withColumn("revised", F.lit(1)), path, "SnapshotDate")
+    tables.append_month(rows.filter(F.col("SnapshotDate") == dates.as_date("2001-08-31")).withColumn("revised", F.lit(1)), path, "SnapshotDate")
     return t.spark.read.parquet(path)
 
 

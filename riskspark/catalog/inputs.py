@@ -16,7 +16,8 @@ GIVEN = ("region nation customer supplier part orders lineitem events documents
          "conversations").split()
 
 TABLES = {
-    # One row per order: an account may have several rows for one month-end.
+    # One row per order: an account may have several rows for one month-end. Its last order also stands at the last
+    # month-end of all, so that the latest snapshot holds every account.
     "statements": """
         select o_custkey as AccountNumber,
           case when o_orderkey % 16 = 3 then cast(o_orderdate as date) else last_day(cast(o_orderdate as date)) end as SnapshotDate,
@@ -25,7 +26,14 @@ TABLES = {
           cast(o_totalprice as decimal(18,2)) as CurrentAmount,
           case when o_orderstatus = 'F' then 0 else 1 end as IsOpen,
           cast(o_orderdate as date) as OrderDate
-        from {orders}""",
+        from {orders}
+        union all
+        select o_custkey, (select last_day(cast(max(o_orderdate) as date)) from {orders}),
+          case o_orderkey % 10 when 5 then 1 when 6 then 2 when 7 then 3 when 8 then 4 when 9 then 9 else 0 end,
+          cast(o_orderkey % 7 as int), cast(o_totalprice as decimal(18,2)), case when o_orderstatus = 'F' then 0 else 1 end,
+          cast(o_orderdate as date)
+        from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as latest from {orders}) o
+        where latest = 1 and cast(o_orderdate as date) < (select last_day(cast(max(o_orderdate) as date)) from {orders})""",
     # One row per account and snapshot; one in sixteen snapshots is not a month-end.
     "loan_portfolio": """
         select AccountNumber, SnapshotDate, DisbursedDate, CurrentAmount,

@@ -96,9 +96,9 @@ def monthly_counts(t):
 
 @query("cure_cohort", """select a.AccountNumber, a.CurrentAmount, a.AccountStatus, b.CurrentAmount as CurrentAmount_n, b.DelinquencyStatusCode as DelinquencyStatusCode_n
   from loan_portfolio_monthly a join loan_portfolio_monthly b on a.AccountNumber = b.AccountNumber
-  where a.DelinquencyStatusCode = 4 and a.SnapshotDate = date '1998-01-31' and b.SnapshotDate = date '1999-09-30'""", "loan_portfolio_monthly")
+  where a.DelinquencyStatusCode = 4 and a.SnapshotDate = date '1998-01-31' and b.SnapshotDate = date '2001-08-31'""", "loan_portfolio_monthly")
 def cure_cohort(t):
-    return o.cure_cohort(t.loan_portfolio_monthly, "1998-01-31", "1999-09-30")
+    return o.cure_cohort(t.loan_portfolio_monthly, "1998-01-31", "2001-08-31")
 
 
 def _hash(*parts: str) -> str:

@@ -10,7 +10,7 @@ from riskspark.catalog.registry import query
 from riskspark.operators import macro, scoring
 from riskspark.operators.delinquency import delinquency_features
 from riskspark.plans.admission import admission_scores
-from riskspark.plans.staging import BEHAVIOUR_COLUMNS, behaviour_scores, customer_scores
+from riskspark.plans.staging import BEHAVIOUR_COLUMNS, behaviour_scores, customer_scores, latest_month
 
 FEATURE_USES = "loan_portfolio payment_free_months forbearance applications"
 START, END = "1995-01-01", "2001-12-31"
@@ -95,17 +95,49 @@ def staging_rules(t):
     return _rounded(cols, "AppliedApplicationScore", "PD_Delta", "LifetimeScore")
 
 
-@query("customer_scores", "with " + FEATURES + "," + BEHAVIOUR + "," + ADM_SCORES + ", together as (select " + ", ".join(f"b.{c}" for c in BEHAVIOUR_COLUMNS) + ", s.* exclude (AccountNumber) from behaviour b left join adm_scores s on s.AccountNumber = b.AccountNumber),"
-       + _rules("together") + """
-  select AccountNumber, SnapshotDate, MOB, round(AppliedApplicationScore, 9) as AppliedApplicationScore, round(Adjusted, 9) as AdjustedBehaviourScore,
-    round(PD_Delta, 9) as PD_Delta, Reason as FBE, SICR, Stageing from (select distinct * from staged) d""",
-       FEATURE_USES + " loan_portfolio_monthly credit_reports")
-def scores(t):
+TOGETHER = ("with " + FEATURES + "," + BEHAVIOUR + "," + ADM_SCORES + ", together as (select " + ", ".join(f"b.{c}" for c in BEHAVIOUR_COLUMNS)
+            + ", s.* exclude (AccountNumber) from behaviour b left join adm_scores s on s.AccountNumber = b.AccountNumber)," + _rules("together"))
+SCORE_USES = FEATURE_USES + " loan_portfolio_monthly credit_reports"
+RUN_DATE = "2001-09-15"
+
+
+def _scores(features, t, **options):
     adm_scores = admission_scores(t.applications, t.credit_reports, t.loan_portfolio_monthly, adm.AS_OF)
-    df = customer_scores(_features(t), adm_scores, _instrument(t))
+    df = customer_scores(features, adm_scores, _instrument(t), **options)
     return _rounded(df, "AppliedApplicationScore", "AdjustedBehaviourScore", "PD_Delta")
 
 
+@query("customer_scores", TOGETHER + """
+  select AccountNumber, SnapshotDate, MOB, round(AppliedApplicationScore, 9) as AppliedApplicationScore, round(Adjusted, 9) as AdjustedBehaviourScore,
+    round(PD_Delta, 9) as PD_Delta, Reason as FBE, SICR, Stageing from (select distinct * from staged) d""", SCORE_USES)
+def scores(t):
+    return _scores(_features(t), t)
+
+
+def _monthly(t):
+    """The month before the run date, with its whole history."""
+    cut = F.add_months(F.lit(RUN_DATE).cast("date"), -1)
+    return delinquency_features(t.loan_portfolio, t.applications, t.payment_free_months, t.forbearance, output_after=cut)
+
+
+@query("monthly_scores_with_macro", TOGETHER + "," + INSTRUMENT + f"""
+  select AccountNumber, SnapshotDate, MOB, round(AppliedApplicationScore, 9) as AppliedApplicationScore,
+    round(case when CurrentDelinquencyStatus in (4, 9) then 1.0 else BehaviourModel * coalesce(InstrumentRollingMean, 1) end, 9) as AdjustedBehaviourScore,
+    round(PD_Delta, 9) as PD_Delta, Reason as FBE, SICR, Stageing
+  from (select distinct * from staged where SnapshotDate > date '{RUN_DATE}' - interval 1 month) d left join instrument i on i.Date = d.SnapshotDate""",
+       SCORE_USES + " macro_series")
+def monthly_scores_with_macro(t):
+    return _scores(_monthly(t), t, apply_macro=True)
+
+
+@query("monthly_scores_with_labels", TOGETHER + f"""
+  select AccountNumber, SnapshotDate, MOB, round(AppliedApplicationScore, 9) as AppliedApplicationScore, round(Adjusted, 9) as AdjustedBehaviourScore,
+    round(PD_Delta, 9) as PD_Delta, Reason as FBE, SICR, concat('Stage', Stageing) as Stageing
+  from (select distinct * from staged where SnapshotDate > date '{RUN_DATE}' - interval 1 month) d""", SCORE_USES)
+def monthly_scores_with_labels(t):
+    return _scores(latest_month(_features(t), RUN_DATE), t, labels=True)
+
+
 @query("macro_overlay", "with rule_input as (" + RULE_INPUT + ")," + INSTRUMENT + """
   select AccountNumber, SnapshotDate, round(coalesce(InstrumentRollingMean, 1), 9) as MacroFactor,
     round(case when CurrentDelinquencyStatus in (4, 9) then 1.0 else BehaviourModel * coalesce(InstrumentRollingMean, 1) end, 9) as AdjustedBehaviourScore

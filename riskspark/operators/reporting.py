@@ -177,8 +177,8 @@ def both_applicants_hit(rows: DataFrame) -> DataFrame:
 
     One person may have very many events, all on one application. `rows` is read twice.
     """
-    hits = rows.groupBy("ApplicationID").agg(F.sum("HasCoapp").alias("both_SS"))
-    return attach(rows, hits.filter("both_SS <> 1"), ["ApplicationID"], "inner")
+    hits = rows.groupBy("ApplicationID").agg(F.sum("HasCoapp").alias("HitWithCoapp"))
+    return attach(rows, hits.filter("HitWithCoapp <> 1"), ["ApplicationID"], "inner")
 
 
 def special_events(events: DataFrame, id_map: DataFrame, applications: DataFrame, portfolio: DataFrame) -> DataFrame:

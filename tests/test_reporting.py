@@ -86,7 +86,7 @@ def test_special_cases(spark):
         (5, 5, "h9", "DISBURSED", 1, 1, 0, "2023-01-01", "2023-01-10", 1), (6, 6, "h5", "DISBURSED", 1, 1, 0, "2023-01-01", "2023-01-10", 1)])
     port = frame(spark, "AccountNumber long, SnapshotDate date, AccountStatus string", [(i, "2024-02-29", "OPEN") for i in (1, 2, 3, 5)] + [(6, "2024-02-29", "CLOSED"), (1, "2024-01-31", "CLOSED")])
     hit = r.special_events(events, ids, apps, port)
-    assert rows(hit, "AccountNumber", "both_SS") == [(1, 0), (3, 2), (3, 2)]
+    assert rows(hit, "AccountNumber", "HitWithCoapp") == [(1, 0), (3, 2), (3, 2)]
     old = spark.createDataFrame([(1,), (5,), (5,), (6,)], "AccountNumber long")
     cases = r.special_cases(hit, old, r.applications_with_status(apps, port), THIS)
     assert rows(cases, "AccountNumber", "LGD") == [(1, 0.5), (3, 0.5), (5, 0.5)]
