@@ -3,7 +3,7 @@
 A byte-level vocabulary writes each byte of UTF-8 as one printable character; `byte_characters` is that table.
 Texts are encoded by their distinct words: a cut before a single space that a non-space character follows never
 lies inside a pre-token, so the ids of a text are those of its words, each with its leading space, end to end.
-Each distinct word of a batch goes through the library once. A text where a space stands before other white
+Each distinct word of a batch goes through the library once, and a worker keeps the ids of words it has met. A text where a space stands before other white
 space, or at the end, goes through it whole. No text is cut short.
 
 NULL texts count as empty and give no ids. Ties and repeated rows need no rule: every row is encoded alone.
@@ -17,6 +17,7 @@ import functools
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from riskspark.llm.text import list_array, pieces, ragged, utf8
+from riskspark.llm.text import list_array, pieces, ragged, raw, span_hashes, utf8
 
 #: A space that a word can't be cut at: white space follows, or nothing.
 ODD_SPACE = r" (?:[\s\x0b\x{85}\p{Z}]|\z)"
 WORDS_AT_ONCE = 128
+#: Words whose ids a worker keeps, some 300 bytes each.
+WORDS_KEPT = 600_000
 #: More text at once has fewer distinct words for its size, and needs more memory.
 BYTES_AT_ONCE = 8 << 20
 
@@ -81,6 +84,7 @@ class ByteBpe:
         self.bytes_of = [b""] * size
         for token, rank in vocab.items():
             self.bytes_of[rank] = bytes(of_char[c] for c in token) if all(c in of_char for c in token) else token.encode()
+        self._forget()
         #: By id: does the token begin with a space, and so a word?
         self.starts_word = np.array([t[:1] == b" " for t in self.bytes_of])
 
@@ -95,6 +99,33 @@ class ByteBpe:
         ids = np.concatenate([np.empty(0, np.int32), *self._whole([" " + x for x in joined])])
         return ids, np.bincount(np.cumsum(self.starts_word[ids]) - 1, minlength=n)
 
+    def _forget(self) -> None:
+        self.places: dict[int, int] = {}
+        self.checks, self.begins, self.lengths = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool = np.empty(0, np.int32)
+
+    def _known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the pool each word's ids begin, and how many it has. New words are encoded and kept.
+
+        A word is known by two independent 64-bit hashes. At WORDS_KEPT words all are forgotten.
+        """
+        if len(self.places) > WORDS_KEPT:
+            self._forget()
+        flat, starts = raw(words)
+        first, second = (span_hashes(flat, starts[:-1], starts[1:], which) for which in (0, 1))
+        place = np.fromiter(map(self.places.get, first.tolist(), repeat(-1)), np.int64, len(words))
+        known = place >= 0
+        known[known] = self.checks[place[known]] == second[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            ids, lengths = self._words(words.take(pa.array(new)))
+            place[new] = np.arange(len(new)) + len(self.begins)
+            self.begins = np.concatenate([self.begins, np.cumsum(lengths) - lengths + len(self.pool)])
+            self.lengths, self.pool = np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, ids])
+            self.checks = np.concatenate([self.checks, second[new]])
+            self.places.update(zip(first[new].tolist(), place[new].tolist(), strict=True))
+        return self.begins[place], self.lengths[place]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (large strings, no NULL) end to end, and how many each has."""
         odd = pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)
@@ -112,11 +143,10 @@ class ByteBpe:
             first[bounds[:-1]] = True
             heads = self._whole(words.filter(pa.array(first)).to_pylist())
             coded = words.filter(pa.array(~first)).dictionary_encode()
-            ids, lengths = self._words(coded.dictionary)
-            begins = np.cumsum(lengths) - lengths
+            begins, lengths = self._known(coded.dictionary)
             codes = coded.indices.to_numpy()
             word, place = ragged(lengths[codes])
-            tail = ids[begins[codes][word] + place] if len(word) else np.empty(0, np.int32)
+            tail = self.pool[begins[codes][word] + place] if len(word) else np.empty(0, np.int32)
             # A text has one word fewer after its first.
             ends = np.cumsum(np.concatenate([[0], lengths[codes]]))[np.cumsum(np.diff(bounds) - 1)]
             at = 0

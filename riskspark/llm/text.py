@@ -80,6 +80,25 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_BYTES = [mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(b)) for b in _BASES]
+
+
+def span_hashes(flat: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
+    """A 64-bit hash of each stretch of bytes, one of two independent ones.
+
+    A polynomial over the bytes from a running sum, moved back to the stretch's start.
+    """
+    if not len(begin):
+        return np.empty(0, np.uint64)
+    base = _BASES[which]
+    power, back = np.full(len(flat) + 1, base, np.uint64), np.full(len(flat) + 1, pow(base, -1, 1 << 64), np.uint64)
+    power[0] = back[0] = 1
+    power, back = np.multiply.accumulate(power), np.multiply.accumulate(back)
+    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[which][flat] * power[:-1])])
+    return mixed((run[end] - run[begin]) * back[begin] + (end - begin).astype(np.uint64))
+
+
 def ragged(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For groups of these lengths laid end to end: each element's group, and its place within the group."""
     group = np.repeat(np.arange(len(lengths)), lengths)
