@@ -31,6 +31,12 @@ HEADLINE = {
     "roc_auc_gini": "roc_auc_gini",
     "average_precision": "average_precision",
     "customer_scores": "customer_scores",
+    "admission_data": "admission_data",
+    "sampled_tape": "sampled_tape",
+    "training_set": "training_set",
+    "compare_scores": "compare_scores",
+    "fit_models": "fit_models",
+    "grid_search": "grid_search",
 }
 
 

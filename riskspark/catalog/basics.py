@@ -112,11 +112,11 @@ def date_functions(t):
 
 @query("scalar_functions", """
   select l_orderkey, l_linenumber, round(1 / (1 + exp(-l_discount * 10)), 9) as logistic,
-    round_even(l_extendedprice / 8 * 1.0, 2) as half_even, round(pow(l_quantity, 1.0 / 3), 9) as cube_root,
+    round_even(l_quantity / 8, 2) as half_even, round(pow(l_quantity, 1.0 / 3), 9) as cube_root,
     case when l_quantity / 40 > 1 then 1.0 else l_quantity / 40 end as capped, try_cast(concat(l_returnflag, cast(l_linenumber as varchar)) as double) as not_number,
     try_cast(cast(l_linenumber as varchar) as double) as number, case when l_discount > 0 then least(floor((l_discount - 1e-9) / 0.02), 4)::int end as bin,
     case when l_returnflag = 'N' then 'Unknown' else l_returnflag end as filled, round(sqrt(l_extendedprice), 6) as root
-  from lineitem""".replace("round_even(l_extendedprice / 8 * 1.0, 2)", "round_even(l_quantity / 8, 2)"))
+  from lineitem""")
 def scalar_functions(t):
     q, disc, flag = F.col("l_quantity"), F.col("l_discount"), F.col("l_returnflag")
     return t.given("lineitem").select(

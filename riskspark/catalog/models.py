@@ -23,19 +23,14 @@ def _rounded(df, *columns, digits=9):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-CURVE = """
+def _curve(s: str) -> str:
+    return f"""
  g as (select {s} as score, count(*) filter (Ever90_12M = 1) as pos, count(*) filter (Ever90_12M = 0) as neg from model_tape group by 1),
- c as (select *, sum(pos) over w::double as tp, sum(neg) over w::double as fp, sum(pos) over ()::double as p, sum(neg) over ()::double as n
+ c as (select *, cast(sum(pos) over w as double) as tp, cast(sum(neg) over w as double) as fp,
+     cast(sum(pos) over () as double) as p, cast(sum(neg) over () as double) as n
    from g window w as (order by score desc rows unbounded preceding))"""
 
 
-def _curve(s: str) -> str:
-    text = CURVE.replace("{s}", s)
-    for f in ("sum(pos) over w", "sum(neg) over w", "sum(pos) over ()", "sum(neg) over ()"):
-        text = text.replace(f + "::double", f"cast({f} as double)")
-    return text
-
-
 AUC = "sum(neg * (tp - pos + pos / 2.0)) / (max(p) * max(n))"
 AP = "sum(pos / p * tp / (tp + fp))"
 

@@ -101,8 +101,10 @@ def _sides(apps: DataFrame, reports: DataFrame, report_id: str) -> tuple[DataFra
     return _with_window(apps.withColumnsRenamed({c: f"{c}1" for c in shared})), reports
 
 
-def report_choices(apps: DataFrame, reports: DataFrame, report_id: str = "jsonID") -> DataFrame:
-    """For each distinct (SSN, window) the newest and the lowest-scored of the reports dated inside it.
+def report_choices(apps: DataFrame, reports: DataFrame, report_id: str = "jsonID", newest: bool = True,
+                   lowest: bool = True) -> DataFrame:
+    """For each distinct (SSN, window) the newest and the lowest-scored of the reports dated inside it, or only
+    one of them.
 
     Reports are first reduced to one row per (SSN, day). Windows are cut into calendar months, so the
     join is an equi join on (SSN, month): one person with very many reports is spread over months, each
@@ -112,16 +114,21 @@ def report_choices(apps: DataFrame, reports: DataFrame, report_id: str = "jsonID
     apps, reports = _sides(apps, reports, report_id)
     # Structs compare field by field; the day and the id are negated so that the minimum is the newest.
     scored = F.when(F.col("UCScore").isNotNull(), F.struct(F.col("UCScore").alias("score"), (-F.col("__id")).alias("neg")))
-    daily = reports.groupBy("SSN", "Date").agg(F.max("__id").alias("id"), F.min(scored).alias("day"))
+    of_day = [F.max("__id").alias("id")] * newest + [F.min(scored).alias("day")] * lowest
+    daily = reports.groupBy("SSN", "Date").agg(*of_day)
     windows = apps.select("SSN", "__lo", "__hi").filter("__lo <= __hi").distinct()
     months = F.sequence(F.trunc("__lo", "month"), F.trunc("__hi", "month"), F.expr("interval 1 month"))
     windows = windows.withColumn("__month", F.explode(months))
     daily = daily.withColumn("__month", F.trunc("Date", "month"))
     hits = windows.join(daily, ["SSN", "__month"]).filter(F.col("Date").between(F.col("__lo"), F.col("__hi")))
-    age = (-F.unix_date("Date")).alias("age")
-    lowest = F.when(F.col("day").isNotNull(), F.struct(F.col("day.score").alias("score"), age, F.col("day.neg").alias("neg")))
-    choices = hits.groupBy("SSN", "__lo", "__hi").agg(F.max(F.struct("Date", "id")).alias("__newest"), F.min(lowest).alias("__lowest"))
-    return materialise(choices, "report-choices")
+    of_window = []
+    if newest:
+        of_window.append(F.max(F.struct("Date", "id")).alias("__newest"))
+    if lowest:
+        age = (-F.unix_date("Date")).alias("age")
+        ranked = F.struct(F.col("day.score").alias("score"), age, F.col("day.neg").alias("neg"))
+        of_window.append(F.min(F.when(F.col("day").isNotNull(), ranked)).alias("__lowest"))
+    return materialise(hits.groupBy("SSN", "__lo", "__hi").agg(*of_window), "report-choices")
 
 
 def _fetch(picked: DataFrame, reports: DataFrame, report_id: str, how: str) -> DataFrame:
@@ -138,7 +145,7 @@ def credit_report_asof(apps: DataFrame, reports: DataFrame, report_id: str = "js
     after where nothing was disbursed. `report_id` identifies a report and breaks ties (larger wins).
     `choices` may be shared with `credit_report_min_score`.
     """
-    choices = report_choices(apps, reports, report_id) if choices is None else choices
+    choices = report_choices(apps, reports, report_id, lowest=False) if choices is None else choices
     apps, reports = _sides(apps, reports, report_id)
     matched = apps.join(choices, ["SSN", "__lo", "__hi"], "left")
     order = [F.col("__newest.Date").desc_nulls_last(), F.col("ApplicationID")]
@@ -153,7 +160,7 @@ def credit_report_min_score(apps: DataFrame, reports: DataFrame, report_id: str
     Ties go to the newest report, then the lowest application, then the largest report id. Accounts
     without a scored report are left out.
     """
-    choices = report_choices(apps, reports, report_id) if choices is None else choices
+    choices = report_choices(apps, reports, report_id, newest=False) if choices is None else choices
     apps, reports = _sides(apps, reports, report_id)
     matched = apps.join(choices.filter("__lowest is not null"), ["SSN", "__lo", "__hi"])
     order = [F.col("__lowest.score"), F.col("__lowest.age"), F.col("ApplicationID"), F.col("__lowest.neg")]
