@@ -9,8 +9,9 @@ shingles have none - and the rank is doubled for documents with open coordinates
 already decided. Two documents agree in a coordinate with the probability of their weighted Jaccard similarity.
 
 BANDS bands of ROWS coordinates make the buckets. Documents with equal shingle sets share one representative
-first. In a bucket of few representatives all are compared; in a larger one all with its first, then those not
-linked to it with the first of them, and so on, so the work is linear in a bucket and no pair list is emitted.
+first. In a bucket of at most SMALL representatives all are compared; in a larger one all with its first, then
+those not linked to it with the first eight of them, then with 64, and so on until none is left. A bucket of
+alike documents costs one comparison a member, and no bucket's pairs are listed at once.
 Pairs are compared exactly, by their shingle sets. At a similarity of 0.8 a pair of one small bucket is missed
 with a probability of 2e-5, less above. In a bucket of over SMALL different representatives, a document similar
 to another but to none of the firsts of their common buckets is not linked through that bucket.
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.text import list_array, mixed, pieces, ragged, raw, utf8
+from riskspark.operators.keyed import first_per_key
 from riskspark.session import materialise
 
 WORDS = 5
@@ -206,6 +208,27 @@ def _compared(pairs: DataFrame, sets: DataFrame, alike: float) -> DataFrame:
     return x.filter(common >= F.lit(alike) * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
 
 
+def _linked(members: DataFrame, sets: DataFrame, firsts: int, alike: float) -> tuple[DataFrame, DataFrame]:
+    """Links among bucket members (key, id, n), and the members that are to meet the rest of theirs.
+
+    In a bucket of at most SMALL all pairs are compared; in a larger one every member with the `firsts` least
+    ids, and the members linked to none of these are left over. Sets whose sizes alone rule out the similarity
+    are no pairs.
+    """
+    sizes = materialise(members.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "dart-sizes")
+    sized = materialise(members.join(sizes, "key"), "dart-sized")
+    first = first_per_key(sized, ["key"], [F.col("id")], max(SMALL, firsts), rank_col="r").filter((F.col("m") <= SMALL) | (F.col("r") <= firsts))
+    first = materialise(first.select("key", F.col("id").alias("first"), F.col("n").alias("n2")), "dart-firsts")
+    close = F.least("n", "n2") >= F.lit(alike) * F.greatest("n", "n2") - 1e-9
+    pairs = sized.join(first, "key").filter(F.col("first") < F.col("id")).filter(close)
+    pairs = materialise(pairs.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "dart-pairs")
+    links = materialise(_compared(pairs, sets, alike), "dart-links")
+    large = sized.filter(F.col("m") > max(SMALL, firsts)).select("key", "id", "n")
+    met = large.join(first, "key").join(links, (F.col("first") == F.col("a")) & (F.col("id") == F.col("b")), "left_semi")
+    done = met.select("key", "id").distinct().unionByName(first.select("key", F.col("first").alias("id")))
+    return links, materialise(large.join(materialise(done, "dart-done"), ["key", "id"], "left_anti"), "dart-left")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alike: float = ALIKE, by_count: bool = False) -> DataFrame:
     """One row per document row: `doc_id` and `class_id`, the least id of its class."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), sketch(F.col(text_col), by_count).alias("s")).select("id", "s.*")
@@ -215,36 +238,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Whole representatives, each once: the row that gave the set its least id.
     first = known.join(same, ["a", "b", "n"]).filter("id = first")
     spread = first.select("id", "n", F.explode("bands").alias("key")).distinct()
-    # Buckets of one are most; the rest is written.
-    sizes = spread.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("id", "n")).alias("lead")).filter("m > 1")
-    buckets = materialise(spread.join(materialise(sizes, "dart-buckets"), "key"), "dart-members")
-    close = F.least("n", "n2") >= F.lit(alike) * F.greatest("n", "n2") - 1e-9
-    few = buckets.filter(F.col("m") <= SMALL).select("key", "id", "n")
-    other = few.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"))
-    pairs = few.join(other, "key").filter(F.col("id") < F.col("id2")).filter(close).select(F.col("id").alias("a"), F.col("id2").alias("b"))
-    many = buckets.filter(F.col("m") > SMALL)
-    stars = many.select(F.col("lead.id").alias("a"), F.col("id").alias("b"), F.col("lead.n").alias("n2"), "n").filter(close & (F.col("a") != F.col("b"))).select("a", "b")
-    pairs = materialise(pairs.unionByName(stars).distinct(), "dart-pairs")
-    members = materialise(buckets.select("id").distinct(), "dart-ids")
+    # Buckets of one are most; the members of the others are written.
+    shared = materialise(spread.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key"), "dart-buckets")
+    rest = materialise(spread.join(shared, "key"), "dart-members")
+    members = materialise(rest.select("id").distinct(), "dart-ids")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(members, "id", "left_semi")
     sets = materialise(texts.select("id", shingle_set(F.col("text")).alias("set")), "dart-shingles")
-    links = [materialise(_compared(pairs, sets, alike), "dart-links")]
-    rest = many.select("key", "id", "n", "m")
-    lead = many.select("key", F.col("lead.id").alias("lead")).distinct()
-    while True:
-        # Who is not linked to the first of its bucket meets the first of those left.
-        near = links[-1].select(F.col("a").alias("lead"), F.col("b").alias("id"))
-        left = rest.join(lead, "key").filter(F.col("id") != F.col("lead")).join(near, ["lead", "id"], "left_anti").select("key", "id", "n")
-        left = materialise(left, "dart-left")
-        leads = left.groupBy("key").agg(F.min(F.struct("id", "n")).alias("lead"), F.count("*").alias("m")).filter("m > 1")
-        leads = materialise(leads.select("key", "lead"), "dart-leads")
-        rest = left.join(leads.select("key"), "key", "left_semi")
-        pairs = left.join(leads, "key").select(F.col("lead.id").alias("a"), F.col("id").alias("b"), F.col("lead.n").alias("n2"), "n")
-        pairs = materialise(pairs.filter(F.col("a") != F.col("b")).filter(close).select("a", "b").distinct(), "dart-pairs")
-        if leads.isEmpty():
-            break
-        lead = leads.select("key", F.col("lead.id").alias("lead"))
-        links.append(materialise(_compared(pairs, sets, alike), "dart-links"))
+    links: list[DataFrame] = []
+    firsts = 1
+    while not links or not rest.isEmpty():
+        links_, rest = _linked(rest, sets, firsts, alike)
+        links.append(links_)
+        firsts *= 8
     edges = links[0]
     for more in links[1:]:
         edges = edges.unionByName(more)
