@@ -65,7 +65,7 @@ def test_mix_on_odd_rows(odd, none):
     want = shared_out(dict(words), (5, 2, 1), 3)
     assert {r.source: pytest.approx(r.target) for r in plan} == want
     mixed = pivotal.mixed_documents(odd)
-    copies = {(r.doc_id, r.source): r.copies * r.m for r in plan}
+    copies = {(r.doc_id, r.source, r.size): r.copies * r.m for r in plan}
     assert mixed.columns == odd.columns and mixed.count() == sum(copies.values())
     assert pivotal.mix_plan(none).collect() == [] and pivotal.mixed_documents(none).collect() == []
 
