@@ -32,9 +32,10 @@ from riskspark.llm.text import list_array, pieces, ragged, raw, span_hashes, utf
 ODD_SPACE = r" (?:[\s\x0b\x{85}\p{Z}]|\z)"
 WORDS_AT_ONCE = 128
 #: Words whose ids a worker keeps, some 300 bytes each.
-WORDS_KEPT = 600_000
+WORDS_KEPT = 400_000
 #: More text at once has fewer distinct words for its size, and needs more memory.
-BYTES_AT_ONCE = 8 << 20
+BYTES_AT_ONCE = 4 << 20
+TEXTS_AT_ONCE = 64
 
 
 @functools.cache
@@ -89,7 +90,9 @@ class ByteBpe:
         self.starts_word = np.array([t[:1] == b" " for t in self.bytes_of])
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Ids of texts; few go through the library at a time, as its results are large."""
+        parts = (self.tokenizer.encode_batch_fast(texts[a : a + TEXTS_AT_ONCE], add_special_tokens=False) for a in range(0, len(texts), TEXTS_AT_ONCE))
+        return [np.array(e.ids, np.int32) for part in parts for e in part]
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each word after a space, end to end, and how many each has."""
