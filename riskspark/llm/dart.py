@@ -9,12 +9,13 @@ shingles have none - and the rank is doubled for documents with open coordinates
 already decided. Two documents agree in a coordinate with the probability of their weighted Jaccard similarity.
 
 BANDS bands of ROWS coordinates make the buckets. Documents with equal shingle sets share one representative
-first. In a bucket of at most SMALL representatives all are compared; in a larger one all with its first, then
-those not linked to it with the first eight of them, then with 64, and so on until none is left. A bucket of
-alike documents costs one comparison a member, and no bucket's pairs are listed at once.
+first. In a bucket of at most SMALL representatives all are compared; in a larger one all with its first. Those
+that the links so far, of all buckets, leave in another class then meet the first eight of them, then 64, and so
+on until none is left. A bucket of alike documents costs one comparison a member, and no bucket's pairs are
+listed at once.
 Pairs are compared exactly, by their shingle sets. At a similarity of 0.8 a pair of one small bucket is missed
 with a probability of 2e-5, less above. In a bucket of over SMALL different representatives, a document similar
-to another but to none of the firsts of their common buckets is not linked through that bucket.
+to another but to none of the firsts of their common buckets, in whose class the other is, may stay apart.
 
 Classes are the connected components of the links. NULL and empty texts (no words) are each alone. A row with a
 NULL id is its own class, which is NULL. Rows with one id are one document. Empty tables give empty results.
@@ -208,12 +209,12 @@ def _compared(pairs: DataFrame, sets: DataFrame, alike: float) -> DataFrame:
     return x.filter(common >= F.lit(alike) * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
 
 
-def _linked(members: DataFrame, sets: DataFrame, firsts: int, alike: float) -> tuple[DataFrame, DataFrame]:
-    """Links among bucket members (key, id, n), and the members that are to meet the rest of theirs.
+def _links(members: DataFrame, sets: DataFrame, firsts: int, alike: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Among bucket members (key, id, n): the links found, the members (key, id, n) of the larger buckets, and the
+    ids (key, first) that these were compared with.
 
     In a bucket of at most SMALL all pairs are compared; in a larger one every member with the `firsts` least
-    ids, and the members linked to none of these are left over. Sets whose sizes alone rule out the similarity
-    are no pairs.
+    ids. Sets whose sizes alone rule out the similarity are no pairs.
     """
     sizes = materialise(members.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "dart-sizes")
     sized = materialise(members.join(sizes, "key"), "dart-sized")
@@ -224,9 +225,16 @@ def _linked(members: DataFrame, sets: DataFrame, firsts: int, alike: float) -> t
     pairs = materialise(pairs.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "dart-pairs")
     links = materialise(_compared(pairs, sets, alike), "dart-links")
     large = sized.filter(F.col("m") > max(SMALL, firsts)).select("key", "id", "n")
-    met = large.join(first, "key").join(links, (F.col("first") == F.col("a")) & (F.col("id") == F.col("b")), "left_semi")
-    done = met.select("key", "id").distinct().unionByName(first.select("key", F.col("first").alias("id")))
-    return links, materialise(large.join(materialise(done, "dart-done"), ["key", "id"], "left_anti"), "dart-left")
+    return links, large, first.select("key", "first")
+
+
+def _left_over(large: DataFrame, first: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of larger buckets that are in no class of their bucket's first ids."""
+    def known(ids: DataFrame) -> DataFrame:
+        named = classes.select(F.col("first").alias("id"), "class")
+        return ids.join(named, "id", "left").withColumn("class", F.coalesce("class", "id"))
+    met = materialise(known(first.select("key", F.col("first").alias("id"))).select("key", "class").distinct(), "dart-met")
+    return materialise(known(large).join(met, ["key", "class"], "left_anti").select("key", "id", "n"), "dart-left")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alike: float = ALIKE, by_count: bool = False) -> DataFrame:
@@ -244,16 +252,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialise(rest.select("id").distinct(), "dart-ids")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(members, "id", "left_semi")
     sets = materialise(texts.select("id", shingle_set(F.col("text")).alias("set")), "dart-shingles")
-    links: list[DataFrame] = []
-    firsts = 1
-    while not links or not rest.isEmpty():
-        links_, rest = _linked(rest, sets, firsts, alike)
-        links.append(links_)
-        firsts *= 8
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionByName(more)
-    classes = materialise(components(edges).select(F.col("id").alias("first"), "class"), "dart-classes")
+    edges, firsts = None, 1
+    while edges is None or not rest.isEmpty():
+        links, large, first_ids = _links(rest, sets, firsts, alike)
+        edges = links if edges is None else edges.unionByName(links)
+        classes = materialise(components(edges).select(F.col("id").alias("first"), "class"), "dart-classes")
+        rest, firsts = _left_over(large, first_ids, classes), 8 * firsts
     per_set = same.join(classes, "first", "left").select("a", "b", "n", F.coalesce("class", "first").alias("class"))
     found = known.select("id", "a", "b", "n").join(materialise(per_set, "dart-set-classes"), ["a", "b", "n"]).select(F.col("id").alias("doc_id"), F.col("class").alias("class_id"))
     alone = rows.filter("n = 0 or id is null").select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"))
