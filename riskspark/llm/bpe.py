@@ -32,9 +32,10 @@ from riskspark.llm.text import list_array, pieces, ragged, raw, span_hashes, utf
 ODD_SPACE = r" (?:[\s\x0b\x{85}\p{Z}]|\z)"
 WORDS_AT_ONCE = 128
 #: Words whose ids a worker keeps, some 300 bytes each.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 200_000
 #: More text at once has fewer distinct words for its size, and needs more memory.
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 2 << 20
+ROWS_AT_ONCE = 2048
 TEXTS_AT_ONCE = 64
 
 
@@ -194,8 +195,10 @@ def _mapped(result: str, path: str, each):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = vocabulary(path)
         for batch in batches:
-            done = [each(bpe, part) for part in pieces(utf8(batch), BYTES_AT_ONCE)]
-            yield pa.concat_arrays(done) if done else each(bpe, utf8(batch))
+            # Results leave piece by piece, so a worker never holds those of a whole batch.
+            for part in pieces(utf8(batch), BYTES_AT_ONCE, ROWS_AT_ONCE) if len(batch) else [utf8(batch)]:
+                yield each(bpe, part)
+            pa.default_memory_pool().release_unused()
     return run
 
 

@@ -42,6 +42,8 @@ BANDS, ROWS = 28, 5
 #: Darts thrown at first, for each coordinate.
 DARTS = 7.0
 SMALL = 8
+#: Text and rows that a worker sketches at once: a row throws some thousand darts.
+BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 20, 512
 SHINGLE_BITS = 48
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -154,8 +156,9 @@ def sketch(text: Column, by_count: bool = False) -> Column:
     @F.arrow_udf("struct<n: int, a: bigint, b: bigint, bands: array<bigint>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            done = [_sketched(part, by_count) for part in pieces(utf8(batch), 2 << 20)]
-            yield pa.concat_arrays(done) if done else _sketched(utf8(batch), by_count)
+            for part in pieces(utf8(batch), BYTES_AT_ONCE, ROWS_AT_ONCE) if len(batch) else [utf8(batch)]:
+                yield _sketched(part, by_count)
+            pa.default_memory_pool().release_unused()
     return run(text)
 
 
@@ -175,9 +178,9 @@ def shingle_set(text: Column) -> Column:
     @F.arrow_udf("array<bigint>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            done = [(s[0], s[2]) for s in map(shingles, pieces(utf8(batch)))]
-            flat = np.concatenate([np.empty(0, np.uint64), *[d[0] for d in done]]).astype(np.int64)
-            yield list_array(pa.array(flat), np.concatenate([np.empty(0, np.int64), *[d[1] for d in done]]))
+            for part in pieces(utf8(batch), BYTES_AT_ONCE, ROWS_AT_ONCE) if len(batch) else [utf8(batch)]:
+                flat, _, n = shingles(part)
+                yield list_array(pa.array(flat.astype(np.int64)), n)
     return run(text)
 
 
