@@ -180,14 +180,14 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
             n_lists: int | None = None, probe_share: float = PROBE_SHARE, least_rows: int = LEAST_ROWS, epsilon: float = EPSILON) -> DataFrame:
     """The k nearest other rows of each row for which `is_query` (over a column `id`) holds.
 
-    There are about sqrt(rows) lists, at most MOST_LISTS; a query probes `probe_share` of them, and more until
+    There are about sqrt(rows) / 4 lists, at most MOST_LISTS; a query probes `probe_share` of them, and more until
     they hold `least_rows` rows (k besides its own at least). Returns query_id, rank from 1, vec_id, score.
     """
     vectors = valid_vectors(df, id_col, vec_col)
     spark, n = df.sparkSession, vectors.count()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lists = n_lists or int(min(MOST_LISTS, max(1, round(n**0.5))))
+    lists = n_lists or int(min(MOST_LISTS, max(1, round(n**0.5 / 4))))
     centres = fit_centroids(vectors, lists)
     index = materialise(vectors.withColumn("list", _assigned(centres)("vec")), "ads-index")
     sizes = np.zeros(len(centres), np.int64)
