@@ -9,13 +9,13 @@ shingles have none - and the rank is doubled for documents with open coordinates
 already decided. Two documents agree in a coordinate with the probability of their weighted Jaccard similarity.
 
 BANDS bands of ROWS coordinates make the buckets. Documents with equal shingle sets share one representative
-first. In a bucket of at most SMALL representatives all are compared; in a larger one all with its first. Those
-that the links so far, of all buckets, leave in another class then meet the first eight of them, then 64, and so
-on until none is left. A bucket of alike documents costs one comparison a member, and no bucket's pairs are
-listed at once.
-Pairs are compared exactly, by their shingle sets. At a similarity of 0.8 a pair of one small bucket is missed
-with a probability of 2e-5, less above. In a bucket of over SMALL different representatives, a document similar
-to another but to none of the firsts of their common buckets, in whose class the other is, may stay apart.
+first. In a bucket of at most SMALL representatives all are compared; in a larger one all with its first. Then,
+in every larger bucket that the links so far, of all buckets, leave in several classes, each member outside its
+largest class meets all members of other classes, BLOCK by BLOCK. So a pair of a bucket goes uncompared only if
+its sizes rule the similarity out or both ends are in one class already. A bucket of alike documents costs one
+comparison a member; one whose members stay apart costs all its pairs, each once for all buckets.
+Pairs are compared exactly, by their shingle sets. At a similarity of 0.8 a pair shares no bucket with a
+probability of 2e-5, less above.
 
 Classes are the connected components of the links. NULL and empty texts (no words) are each alone. A row with a
 NULL id is its own class, which is NULL. Rows with one id are one document. Empty tables give empty results.
@@ -42,6 +42,8 @@ BANDS, ROWS = 28, 5
 #: Darts thrown at first, for each coordinate.
 DARTS = 7.0
 SMALL = 8
+#: Members that one task's share of a large bucket takes from each side.
+BLOCK = 256
 #: Text and rows that a worker sketches at once: a row throws some thousand darts.
 BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 20, 512
 SHINGLE_BITS = 48
@@ -212,32 +214,52 @@ def _compared(pairs: DataFrame, sets: DataFrame, alike: float) -> DataFrame:
     return x.filter(common >= F.lit(alike) * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
 
 
-def _links(members: DataFrame, sets: DataFrame, firsts: int, alike: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Among bucket members (key, id, n): the links found, the members (key, id, n) of the larger buckets, and the
-    ids (key, first) that these were compared with.
+def _close(n: Column, n2: Column, alike: float) -> Column:
+    """Whether the sizes of two sets leave the similarity open."""
+    return F.least(n, n2) >= F.lit(alike) * F.greatest(n, n2) - 1e-9
 
-    In a bucket of at most SMALL all pairs are compared; in a larger one every member with the `firsts` least
-    ids. Sets whose sizes alone rule out the similarity are no pairs.
+
+def _links(members: DataFrame, sets: DataFrame, alike: float) -> tuple[DataFrame, DataFrame]:
+    """Among bucket members (key, id, n): the links found, and the members (key, id, n) of the larger buckets.
+
+    In a bucket of at most SMALL all pairs are compared; in a larger one every member with the least id.
     """
     sizes = materialise(members.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "dart-sizes")
     sized = materialise(members.join(sizes, "key"), "dart-sized")
-    first = first_per_key(sized, ["key"], [F.col("id")], max(SMALL, firsts), rank_col="r").filter((F.col("m") <= SMALL) | (F.col("r") <= firsts))
+    first = first_per_key(sized, ["key"], [F.col("id")], SMALL, rank_col="r").filter((F.col("m") <= SMALL) | (F.col("r") == 1))
     first = materialise(first.select("key", F.col("id").alias("first"), F.col("n").alias("n2")), "dart-firsts")
-    close = F.least("n", "n2") >= F.lit(alike) * F.greatest("n", "n2") - 1e-9
-    pairs = sized.join(first, "key").filter(F.col("first") < F.col("id")).filter(close)
+    pairs = sized.join(first, "key").filter(F.col("first") < F.col("id")).filter(_close(F.col("n"), F.col("n2"), alike))
     pairs = materialise(pairs.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "dart-pairs")
-    links = materialise(_compared(pairs, sets, alike), "dart-links")
-    large = sized.filter(F.col("m") > max(SMALL, firsts)).select("key", "id", "n")
-    return links, large, first.select("key", "first")
+    return materialise(_compared(pairs, sets, alike), "dart-links"), sized.filter(F.col("m") > SMALL).select("key", "id", "n")
 
 
-def _left_over(large: DataFrame, first: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members of larger buckets that are in no class of their bucket's first ids."""
-    def known(ids: DataFrame) -> DataFrame:
-        named = classes.select(F.col("first").alias("id"), "class")
-        return ids.join(named, "id", "left").withColumn("class", F.coalesce("class", "id"))
-    met = materialise(known(first.select("key", F.col("first").alias("id"))).select("key", "class").distinct(), "dart-met")
-    return materialise(known(large).join(met, ["key", "class"], "left_anti").select("key", "id", "n"), "dart-left")
+def _open_pairs(large: DataFrame, classes: DataFrame, bands: DataFrame, alike: float) -> DataFrame:
+    """Pairs (a, b) of larger buckets (key, id, n) that are in different classes (first, class).
+
+    A pair of several buckets is listed in that of their least common key, by the `bands` (id, n, bands) of both
+    sets. If that bucket is a small one, the pair has been compared.
+    """
+    known = large.join(classes.select(F.col("first").alias("id"), "class"), "id", "left").withColumn("class", F.coalesce("class", "id"))
+    known = materialise(known, "dart-known")
+    per_class = known.groupBy("key", "class").agg(F.count("*").alias("c"))
+    mixed_keys = per_class.groupBy("key").agg(F.count("*").alias("k"), F.sum("c").alias("m"), F.max(F.struct("c", "class")).alias("top"))
+    mixed_keys = mixed_keys.filter("k > 1").select("key", F.col("top.class").alias("top"), _blocks(F.col("m")).alias("across"), _blocks(F.col("m") - F.col("top.c")).alias("down"))
+    rows = known.join(materialise(mixed_keys, "dart-mixed"), "key")
+    rows = rows.join(bands, ["id", "n"]).filter(F.array_contains("bands", F.col("key"))).withColumn("rest", F.col("class") != F.col("top"))
+    rows = materialise(rows.drop("top"), "dart-open")
+    dealt = F.xxhash64("id")
+    x = rows.filter("rest").withColumn("row", F.pmod(dealt, "down")).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)))
+    y = rows.withColumn("col", F.pmod(dealt, "across")).withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)))
+    x, y = x.alias("x"), y.alias("y")
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.row") == F.col("y.row")) & (F.col("x.col") == F.col("y.col"))
+    on &= (F.col("x.class") != F.col("y.class")) & (~F.col("y.rest") | (F.col("x.id") < F.col("y.id"))) & _close(F.col("x.n"), F.col("y.n"), alike)
+    on &= F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")
+    pairs = x.join(y, on).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    return materialise(pairs, "dart-open-pairs")
+
+
+def _blocks(m: Column) -> Column:
+    return F.ceil(m / BLOCK).cast("long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alike: float = ALIKE, by_count: bool = False) -> DataFrame:
@@ -255,12 +277,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialise(rest.select("id").distinct(), "dart-ids")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(members, "id", "left_semi")
     sets = materialise(texts.select("id", shingle_set(F.col("text")).alias("set")), "dart-shingles")
-    edges, firsts = None, 1
-    while edges is None or not rest.isEmpty():
-        links, large, first_ids = _links(rest, sets, firsts, alike)
-        edges = links if edges is None else edges.unionByName(links)
+    edges, large = _links(rest, sets, alike)
+    classes = materialise(components(edges).select(F.col("id").alias("first"), "class"), "dart-classes")
+    bands = first.dropDuplicates(["a", "b", "n"]).select("id", "n", "bands").join(large.select("id").distinct(), "id", "left_semi")
+    pairs = _open_pairs(large, classes, bands, alike)
+    if not pairs.isEmpty():
+        edges = edges.unionByName(_compared(pairs, sets, alike))
         classes = materialise(components(edges).select(F.col("id").alias("first"), "class"), "dart-classes")
-        rest, firsts = _left_over(large, first_ids, classes), 8 * firsts
     per_set = same.join(classes, "first", "left").select("a", "b", "n", F.coalesce("class", "first").alias("class"))
     found = known.select("id", "a", "b", "n").join(materialise(per_set, "dart-set-classes"), ["a", "b", "n"]).select(F.col("id").alias("doc_id"), F.col("class").alias("class_id"))
     alone = rows.filter("n = 0 or id is null").select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"))

@@ -174,6 +174,24 @@ def test_small_tables_match_brute_force(spark):
     assert {r.doc_id: r.class_id for r in dart.near_duplicates(docs).collect()} == want
 
 
+def edited_copies():
+    """200 copies of a text that isn't among them; most have three edits and are alike only to the few with one."""
+    rng = np.random.default_rng(11)
+    base, rows = [f"w{i}" for i in range(200)], []
+    for i in range(200):
+        words = list(base)
+        for at in rng.choice(200, 1 if i % 25 == 0 else 3, replace=False):
+            words[at] = f"x{i}y{at}"
+        rows.append(" ".join(words))
+    return list(zip(rng.permutation(200).tolist(), rows, strict=True))
+
+
+def test_members_of_a_large_bucket_meet_those_of_other_classes(spark):
+    rows = edited_copies()
+    got = {r.doc_id: r.class_id for r in dart.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows)
+
+
 def test_near_duplicates_on_odd_rows(odd, none):
     got = Counter((r.doc_id, r.class_id) for r in dart.near_duplicates(odd).collect())
     assert sum(got.values()) == odd.count() and got[(None, None)] == 2 and got[(4, 4)] == 2 and got[(5, 4)] == 1
