@@ -6,8 +6,7 @@ of WIDTH bytes slide over the learned vectors of the bytes; a filter's largest r
 probability through a logistic unit.
 
 Training is stochastic gradient descent on a bounded sample: at most ROWS_PER_LABEL rows of each label, those
-with the smallest hash of the id, and at most CHUNKS_PER_ROW chunks of a text, spread evenly. The intercept is
-then moved to the odds of all labelled rows. Labels are used as given; rows with another label than 0 or 1 are
+with the smallest hash of the id, and every chunk of their texts. The intercept is then moved to the odds of all labelled rows. Labels are used as given; rows with another label than 0 or 1 are
 left out. With one label only, or no row, the score of every text is the share of label 1 (0.5 without rows).
 
 Scoring covers every chunk of every text; NULL counts as empty, and an empty text has one chunk of padding.
@@ -28,10 +27,10 @@ from riskspark.llm.text import bounded_sample, pieces, raw, utf8
 
 CHUNK, OVERLAP, WIDTH, STRIDE, FILTERS, DIMS = 512, 64, 8, 2, 16, 8
 PAD = 256
-#: The bounds of the training sample.
-ROWS_PER_LABEL, CHUNKS_PER_ROW = 1200, 8
+#: The bound of the training sample.
+ROWS_PER_LABEL = 1200
 EPOCHS, BATCH, RATE = 10, 32, 4e-3
-CHUNKS_AT_ONCE = 512
+CHUNKS_AT_ONCE, TRAINED_AT_ONCE = 512, 128
 POSITIONS = np.arange(0, CHUNK - WIDTH + 1, STRIDE)
 
 
@@ -81,14 +80,22 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+def _best(net: Net, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each filter responds most in each chunk, as an index of POSITIONS, and the response with the bias."""
+    byte, filters = net.byte.astype(np.float32), net.filters.astype(np.float32)
+    best, response = np.empty((len(chunks), FILTERS), np.int64), np.empty((len(chunks), FILTERS), np.float32)
+    for a in range(0, len(chunks), TRAINED_AT_ONCE):
+        rows = chunks[a : a + TRAINED_AT_ONCE]
+        seen = np.lib.stride_tricks.sliding_window_view(byte[rows], WIDTH, axis=1)[:, ::STRIDE]
+        total = (seen.swapaxes(2, 3).reshape(-1, WIDTH * DIMS) @ filters).reshape(len(rows), len(POSITIONS), FILTERS)
+        best[a : a + len(rows)] = at = total.argmax(axis=1)
+        response[a : a + len(rows)] = np.take_along_axis(total, at[:, None], axis=1)[:, 0]
+    return best, response + net.bias
+
+
 def _step(net: Net, chunks: np.ndarray, n: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     """Gradients of the mean log loss of one batch, by parameter."""
-    tables = net.tables()
-    total = tables[0][chunks[:, POSITIONS]]
-    for k in range(1, WIDTH):
-        total += tables[k][chunks[:, POSITIONS + k]]
-    best = total.argmax(axis=1)
-    response = np.take_along_axis(total, best[:, None], axis=1)[:, 0] + net.bias
+    best, response = _best(net, chunks)
     h = np.maximum(response, 0)
     doc = document_features(h, n)
     gap = (sigmoid(doc @ net.last + net.intercept) - y) / len(y)
@@ -97,12 +104,15 @@ def _step(net: Net, chunks: np.ndarray, n: np.ndarray, y: np.ndarray) -> list[np
     top = doc[:, :FILTERS][text] == h
     share = top / np.maximum(np.add.reduceat(top.astype(float), np.cumsum(n) - n, axis=0)[text], 1)
     to_h = (to_doc[:, :FILTERS][text] * share + to_doc[:, FILTERS:][text] / n[text][:, None]) * (response > 0)
-    window = chunks[np.arange(len(chunks))[:, None, None], POSITIONS[best][:, :, None] + np.arange(WIDTH)]
-    seen = net.byte[window].reshape(len(chunks), FILTERS, WIDTH * DIMS)
-    filters = np.einsum("cf,cfx->xf", to_h, seen)
-    back = (to_h[:, :, None] * net.filters.T[None]).reshape(-1, DIMS)
-    byte = np.zeros_like(net.byte)
-    np.add.at(byte, window.reshape(-1), back)
+    filters, byte = np.zeros_like(net.filters), np.zeros_like(net.byte)
+    for a in range(0, len(chunks), TRAINED_AT_ONCE):
+        own = slice(a, a + TRAINED_AT_ONCE)
+        rows, g = chunks[own], to_h[own]
+        window = rows[np.arange(len(rows))[:, None, None], POSITIONS[best[own]][:, :, None] + np.arange(WIDTH)]
+        seen = net.byte[window].reshape(len(rows), FILTERS, WIDTH * DIMS)
+        filters += np.einsum("cf,cfx->xf", g, seen)
+        back = (g[:, :, None] * net.filters.T[None]).reshape(-1, DIMS)
+        np.add.at(byte, window.reshape(-1), back)
     byte[PAD] = 0
     return [byte, filters, to_h.sum(axis=0), doc.T @ gap, gap.sum()]
 
@@ -145,18 +155,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = {r["group"]: r["count"] for r in rows.groupBy("group").count().collect()}
     total = sum(counts.values())
 
-    @F.arrow_udf("binary")
-    def sample(batch: pa.Array) -> pa.Array:
-        out = []
-        for part in pieces(utf8(batch)):
-            chunks, n = chunked(*raw(part))
-            for own in np.split(chunks, np.cumsum(n)[:-1]):
-                out.append(own[np.unique(np.linspace(0, len(own) - 1, CHUNKS_PER_ROW).astype(int))].tobytes())
-        return pa.array(out, pa.binary())
-
     chosen = bounded_sample(docs, rows, rows_per_label, id_col, text_col)
-    got = chosen.select("group", "id", sample("text").alias("chunks")).orderBy("group", "id").toArrow()
-    bags = [np.frombuffer(x.as_py(), np.int16).reshape(-1, CHUNK) for x in got.column("chunks")]
+    got = chosen.select("group", "id", "text").orderBy("group", "id").toArrow()
+    chunks, n = chunked(*raw(utf8(got.column("text")))) if got.num_rows else (np.empty((0, CHUNK), np.int16), np.empty(0, np.int64))
+    bags = np.split(chunks, np.cumsum(n)[:-1])
     return fit(bags, got.column("group").to_numpy().astype(float), counts.get(1, 0) / total if total else 0.5)
 
 

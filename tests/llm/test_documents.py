@@ -270,6 +270,15 @@ def test_network_learns_and_takes_odd_rows(spark, odd, none):
     assert odd.select(bytecnn.score(F.col("text"), empty).alias("p")).first().p == pytest.approx(0.5)
 
 
+def test_training_sees_every_chunk_of_a_sampled_text(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, chr(97 + i) * size) for i, size in enumerate((20000, 9001, 10, 448 * 8 + 65))], "doc_id long, text string")
+    bags = []
+    monkeypatch.setattr(bytecnn, "fit", lambda texts, labels, share: bags.extend(texts))
+    bytecnn.train(docs, docs.select(F.col("doc_id").alias("id"), (F.col("doc_id") % 2).alias("label")))
+    seen = {int(b[0, 0]) - 97: len(b) for b in bags}
+    assert seen == {i: max(1, -(-(size - 64) // 448)) for i, size in enumerate((20000, 9001, 10, 448 * 8 + 65))}
+
+
 def test_gram_counts_are_of_whole_texts(monkeypatch):
     texts = ["abcabc", "", "x", "Été déjà", "ab" * 3000]
     whole = centroid.gram_counts(utf8(pa.array(texts)))
