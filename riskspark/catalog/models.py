@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from riskspark.catalog.registry import query
@@ -169,20 +169,11 @@ def _parts(t):
     return train, validation
 
 
-def _estimators():
-    """Small candidates for the test tables; `default_estimators` holds the parameters in use."""
-    return {
-        "GradientBoostingClassifier": GBTClassifier(maxIter=3, maxDepth=3, stepSize=0.1, subsamplingRate=0.6, featureSubsetStrategy="log2", seed=42),
-        "DecisionTreeClassifier": DecisionTreeClassifier(maxDepth=4, minInstancesPerNode=7, seed=42),
-        "RandomForestClassifier": RandomForestClassifier(numTrees=4, maxDepth=3, minInstancesPerNode=2, featureSubsetStrategy="log2", seed=42),
-        "LogisticRegression": LogisticRegression(fitIntercept=False, standardization=False),
-    }
-
-
 @query("fit_models")
 def fit_models(t):
     """Held-out accuracy per model and fold."""
-    fitted = ml.fit_models(_parts(t)[0], estimators=_estimators(), folds=2)
+    train = _parts(t)[0]
+    fitted = ml.fit_models(train, estimators=ml.default_estimators(train.count()))
     return t.spark.createDataFrame(fitted.cross_validation, "Model string, CrossValidation int, Accuracy double")
 
 
@@ -190,7 +181,7 @@ def fit_models(t):
 def model_feature_importance(t):
     """Models on scaled features, and the F statistic, added up per feature."""
     train = materialise(min_max_scale(_parts(t)[0], FEATURES), "scaled")
-    fitted = ml.fit_models(train, estimators=_estimators(), folds=0)
+    fitted = ml.fit_models(train, estimators=ml.importance_estimators(train.count()), folds=0)
     anova = m.anova_f(train, FEATURES, LABEL).select(F.lit("ANOVA").alias("method"), "feature", F.col("f_score").alias("importance"))
     return m.feature_importance_rank(ml.model_importances(fitted.models, FEATURES, t.spark).unionByName(anova))
 
@@ -198,7 +189,7 @@ def model_feature_importance(t):
 @query("fitted_probability")
 def fitted_probability(t):
     train, validation = _parts(t)
-    model = ml.fit_models(train, estimators={"lr": _estimators()["LogisticRegression"]}, folds=0).models["lr"]
+    model = ml.fit_models(train, estimators={"lr": ml.default_estimators(train.count())["LogisticRegression"]}, folds=0).models["lr"]
     return ml.default_probability(model, validation).select("AccountNumber", "SnapshotDate", "Probability_model", "prediction")
 
 
@@ -211,8 +202,7 @@ def calibrate(t):
 @query("grid_search")
 def grid_search(t):
     train, validation = _parts(t)
-    combos = ml.combinations_of({"maxDepth": (2, 4), "minInstancesPerNode": (2, 6)})
-    return ml.rank_grid(ml.grid_search(DecisionTreeClassifier(seed=42), combos, train, validation))
+    return ml.rank_grid(ml.grid_search(RandomForestClassifier(seed=42), ml.combinations_of(ml.FOREST_GRID), train, validation))
 
 
 @query("rank_grid", """

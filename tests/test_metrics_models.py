@@ -179,3 +179,36 @@ def test_a_nan_score_has_no_place_in_the_curve(spark):
     more = df.unionByName(spark.createDataFrame([(1, float("nan"))], "y int, s double"))
     assert m.roc_auc_gini(more, "y", "s").collect() == m.roc_auc_gini(df, "y", "s").collect()
     assert m.average_precision(more, "y", "s").collect() == m.average_precision(df, "y", "s").collect()
+
+
+def test_queries_fit_the_models_in_use(spark, monkeypatch):
+    from riskspark.catalog import models
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def fit(train, estimators, folds=5):
+        seen.append(({k: {p.name: v for p, v in e.extractParamMap().items()} for k, e in estimators.items()}, folds))
+        raise Stop
+
+    def search(estimator, combos, train, test):
+        seen.append((type(estimator).__name__, combos))
+        raise Stop
+
+    df = tape(spark, 100)
+    monkeypatch.setattr(models, "_parts", lambda t: (df, df))
+    monkeypatch.setattr(models, "materialise", lambda df, name: df)
+    monkeypatch.setattr(ml, "fit_models", fit)
+    monkeypatch.setattr(ml, "grid_search", search)
+    for run in (models.fit_models, models.model_feature_importance, models.fitted_probability, models.grid_search):
+        with pytest.raises(Stop):
+            run(None)
+
+    def params(estimators):
+        return {k: {p.name: v for p, v in e.extractParamMap().items()} for k, e in estimators.items()}
+
+    used = params(ml.default_estimators(df.count()))
+    assert seen[0] == (used, 5) and seen[1] == (params(ml.importance_estimators(df.count())), 0)
+    assert seen[2] == ({"lr": used["LogisticRegression"]}, 0)
+    assert seen[3] == ("RandomForestClassifier", ml.combinations_of(ml.FOREST_GRID))
