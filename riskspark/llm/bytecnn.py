@@ -1,7 +1,7 @@
 """Quality of a text by a byte-level convolutional network in numpy.
 
 A text is cut into overlapping chunks of CHUNK bytes that cover it whole. In every chunk FILTERS learned filters
-of WIDTH bytes slide over the learned vectors of the bytes; a filter's largest response is the chunk's feature
+of WIDTH bytes slide byte by byte over the learned vectors of the bytes; a filter's largest response is the chunk's feature
 (max pooling, after rectifying). Over the chunks of a document each feature's largest and mean value make one
 probability through a logistic unit.
 
@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 
 from riskspark.llm.text import bounded_sample, pieces, raw, utf8
 
-CHUNK, OVERLAP, WIDTH, STRIDE, FILTERS, DIMS = 512, 64, 8, 2, 16, 8
+CHUNK, OVERLAP, WIDTH, FILTERS, DIMS = 512, 64, 8, 16, 8
 PAD = 256
 #: The bound of the training sample.
 ROWS_PER_LABEL = 1200
 EPOCHS, BATCH, RATE = 10, 32, 4e-3
 CHUNKS_AT_ONCE, TRAINED_AT_ONCE = 512, 128
-POSITIONS = np.arange(0, CHUNK - WIDTH + 1, STRIDE)
+POSITIONS = np.arange(0, CHUNK - WIDTH + 1)
 
 
 @dataclass
@@ -86,7 +86,7 @@ def _best(net: Net, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     best, response = np.empty((len(chunks), FILTERS), np.int64), np.empty((len(chunks), FILTERS), np.float32)
     for a in range(0, len(chunks), TRAINED_AT_ONCE):
         rows = chunks[a : a + TRAINED_AT_ONCE]
-        seen = np.lib.stride_tricks.sliding_window_view(byte[rows], WIDTH, axis=1)[:, ::STRIDE]
+        seen = np.lib.stride_tricks.sliding_window_view(byte[rows], WIDTH, axis=1)
         total = (seen.swapaxes(2, 3).reshape(-1, WIDTH * DIMS) @ filters).reshape(len(rows), len(POSITIONS), FILTERS)
         best[a : a + len(rows)] = at = total.argmax(axis=1)
         response[a : a + len(rows)] = np.take_along_axis(total, at[:, None], axis=1)[:, 0]

@@ -279,6 +279,13 @@ def test_training_sees_every_chunk_of_a_sampled_text(spark, monkeypatch):
     assert seen == {i: max(1, -(-(size - 64) // 448)) for i, size in enumerate((20000, 9001, 10, 448 * 8 + 65))}
 
 
+def test_filters_meet_a_pattern_at_every_offset():
+    net = bytecnn.fit([], np.empty(0), 0.5)
+    texts = [np.frombuffer(b"a" * at + b"PATTERN!" + b"a" * (300 - at), np.uint8) for at in (40, 41)]
+    x, y = (bytecnn.chunk_features(net.tables(), net.bias, bytecnn.chunked(t, np.array([0, len(t)]))[0]) for t in texts)
+    assert (x == y).all()
+
+
 def test_gram_counts_are_of_whole_texts(monkeypatch):
     texts = ["abcabc", "", "x", "Été déjà", "ab" * 3000]
     whole = centroid.gram_counts(utf8(pa.array(texts)))
