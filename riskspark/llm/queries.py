@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import ads, blockmax, bpe, bytecnn, centroid, dart, pfor, pii, pivotal
+from riskspark.llm import ads, blockmax, bpe, bytecnn, centroid, dart, pfor, pii, piecebpe, pivotal, variants, whiten
 from riskspark.llm import edits as edits_op
 from riskspark.llm.text import held_out, table
 from riskspark.session import shared_folder
@@ -111,3 +111,19 @@ def edited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     edits = F.array(edit(middle, middle + 10, "12 more'll"), edit(F.lit(0), F.lit(0), "Edited\n"), edit(length + 17, length + 17, " the end."))
     counts = edits_op.counts(F.col("text"), edits, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return table(spark, sf_dir, "documents").select("doc_id", counts.alias("c")).select("doc_id", "c.*")
+
+
+@query("op11_polarisation_whitening")
+def whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_sentencepiece_prefix_table")
+def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = piecebpe.round_trip_digest(F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return table(spark, sf_dir, "documents").select("doc_id", digest.alias("d")).select("doc_id", "d.*")
+
+
+@query("op13_variable_gram_variants")
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
