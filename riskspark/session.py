@@ -54,9 +54,20 @@ def shared_folder(spark: SparkSession) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several branches read to the shared folder, and read it back.
 
-    The folder's own retention removes the tables. The branches then scan only their columns instead of each repeating the work behind `df`, and a
-    lost executor costs a read, not a recomputation.
+    The branches then scan only their columns instead of each repeating the work behind `df`, and a lost executor
+    costs a read, not a recomputation. `discard` removes a table that nothing reads any more; the folder's own
+    retention removes the others.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that `materialise` returned and that no frame still to be run reads."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
