@@ -53,14 +53,15 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def frequent_grams(words: DataFrame, most: int = FREQUENT_GRAMS) -> dict[str, int]:
-    """The grams of QMIN to QMAX - 1 characters at more than one in `most` of all places, with their counts.
+    """The grams of QMIN to QMAX characters at more than one in `most` of all places, with their counts.
 
-    A place is counted once for each length, so each length has fewer than `most` such grams.
+    A place is counted once for each length, so each length has fewer than `most` such grams. Those of QMAX
+    characters go no further in any word; their counts are for the order.
     """
     s = F.concat(F.lit(BEGIN), F.col("word"), F.lit(END))
     places = F.sequence(F.lit(1), F.length(s) - QMIN + 1)
     grams = words.select(F.explode(F.flatten(F.transform(places, lambda p: F.transform(
-        F.sequence(F.lit(QMIN), F.least(F.lit(QMAX - 1), F.length(s) - p + 1)), lambda q: F.substring(s, p, q))))).alias("gram"))
+        F.sequence(F.lit(QMIN), F.least(F.lit(QMAX), F.length(s) - p + 1)), lambda q: F.substring(s, p, q))))).alias("gram"))
     counts = grams.groupBy("gram").agg(F.count("*").alias("c"))
     total = words.agg(F.coalesce(F.sum(F.length("word") + 1), F.lit(0))).first()[0]
     return {r["gram"]: r["c"] for r in counts.filter(F.col("c") * most > total).collect()}
@@ -93,21 +94,31 @@ def entries(word: str, frequent: dict[str, int]) -> list[tuple[int, str]]:
     return [(p, g) for p, g in enumerate(grams) if (frequent.get(g, 0), -len(g), g) <= last]
 
 
+def letters(word: str) -> int:
+    """A bit for each character that occurs, 64 in all, as a signed number; one edit changes two at most."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def gram_index(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
-    """(word, n, length, place, gram) of the entries of every word."""
+    """(word, n, letters, length, place, gram) of the entries of every word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, length, place, gram = [], [], [], []
-            for i, word in enumerate(batch.column("word").to_pylist()):
+            words = batch.column("word").to_pylist()
+            masks = pa.array(list(map(letters, words)), pa.int64())
+            for i, word in enumerate(words):
                 for p, g in entries(word, frequent):
                     row.append(i)
                     length.append(len(word))
                     place.append(p)
                     gram.append(g)
             at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_pydict({"word": batch.column("word").take(at), "n": batch.column("n").take(at), "length": pa.array(length, pa.int32()),
+            yield pa.RecordBatch.from_pydict({"word": batch.column("word").take(at), "n": batch.column("n").take(at), "letters": masks.take(at), "length": pa.array(length, pa.int32()),
                                               "place": pa.array(place, pa.int32()), "gram": pa.array(gram, pa.string())})
-    return words.select("word", "n").mapInArrow(run, "word string, n long, length int, place int, gram string")
+    return words.select("word", "n").mapInArrow(run, "word string, n long, letters long, length int, place int, gram string")
 
 
 def near_words(words: DataFrame, most: int = FREQUENT_GRAMS) -> DataFrame:
@@ -115,10 +126,13 @@ def near_words(words: DataFrame, most: int = FREQUENT_GRAMS) -> DataFrame:
     index = materialise(gram_index(words, frequent_grams(words, most)), "variant-index")
     # A word asks among words of its length, and as the shorter one among those with a character more.
     asked = F.explode(F.array(*[F.struct((F.col("length") + i).alias("length"), (F.col("place") + j).alias("place")) for i, j in ((0, 0), (1, 0), (1, 1))]))
-    asks = index.select(F.col("word").alias("a"), F.col("n").alias("a_n"), "gram", asked.alias("at")).select("a", "a_n", "gram", F.col("at.length").alias("length"), F.col("at.place").alias("place"))
-    lists = index.select(F.col("word").alias("b"), F.col("n").alias("b_n"), "gram", "length", "place")
+    asks = index.select(F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("letters").alias("a_letters"), "gram", asked.alias("at"))
+    asks = asks.select("a", "a_n", "a_letters", "gram", F.col("at.length").alias("length"), F.col("at.place").alias("place"))
+    lists = index.select(F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("letters").alias("b_letters"), "gram", "length", "place")
     other = (F.length("a") < F.col("length")) | (F.col("a") < F.col("b"))
-    met = asks.join(lists, ["gram", "length", "place"]).filter(other & (_distance(F.col("a"), F.col("b")) == 1))
+    # The letters that occur rule most words out before the distance is taken.
+    alike = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2
+    met = asks.join(lists, ["gram", "length", "place"]).filter(alike & other & (_distance(F.col("a"), F.col("b")) == 1))
     return met.select("a", "a_n", "b", "b_n").distinct()
 
 
