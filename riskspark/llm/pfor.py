@@ -39,9 +39,36 @@ MAGIC = b"PFR1"
 DOCUMENT = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<u4")])
 
 
-def _bits(x: np.ndarray) -> np.ndarray:
-    """Bits that a number needs."""
-    return np.ceil(np.log2(x.astype(np.float64) + 1)).astype(np.int64)
+def _packed(values: np.ndarray, width: int) -> np.ndarray:
+    """The low `width` bits of eight numbers a row, end to end from the lowest: `width` bytes a row."""
+    words = np.zeros((len(values), width // 8 + 2), np.uint64)
+    values = values.astype(np.uint64) & np.uint64((1 << width) - 1)
+    for k in range(8):
+        word, shift = divmod(k * width, 64)
+        words[:, word] |= values[:, k] << np.uint64(shift)
+        if shift + width > 64:
+            words[:, word + 1] |= values[:, k] >> np.uint64(64 - shift)
+    return words.astype("<u8").view(np.uint8).reshape(len(values), -1)[:, :width]
+
+
+def _unpacked(rows: np.ndarray, width: int) -> np.ndarray:
+    """Eight numbers of `width` bits from each row of `width` bytes."""
+    data = np.zeros((len(rows), 8 * (width // 8 + 2)), np.uint8)
+    data[:, :width] = rows
+    words, out = data.view("<u8"), np.empty((len(rows), 8), np.int64)
+    for k in range(8):
+        word, shift = divmod(k * width, 64)
+        value = words[:, word] >> np.uint64(shift)
+        if shift + width > 64:
+            value |= words[:, word + 1] << np.uint64(64 - shift)
+        out[:, k] = value & np.uint64((1 << width) - 1)
+    return out
+
+
+def _places(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For blocks with these many exceptions end to end: each exception's block, and its number in it."""
+    block = np.repeat(np.arange(len(count)), count)
+    return block, np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count)
 
 
 def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[np.ndarray, bytes]:
@@ -51,18 +78,26 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[np.ndarray, b
     full = np.pad(ids.astype(np.int64), (0, -len(ids) % BLOCK), mode="edge").reshape(-1, BLOCK)
     low = full.min(axis=1)
     rest = full - low[:, None]
-    width = np.sort(_bits(rest), axis=1)[:, int(np.ceil(percentile * BLOCK)) - 1]
-    out: list[bytes] = [b""] * len(full)
-    for w in np.unique(width):
+    at = int(np.ceil(percentile * BLOCK)) - 1
+    # Bits that the difference at the percentile needs: the exponent of a whole number below 2^53.
+    width = np.frexp(np.partition(rest, at, axis=1)[:, at].astype(np.float64))[1].astype(np.int64)
+    high = rest >> width[:, None]
+    block, where = np.nonzero(high)
+    wrong = np.bincount(block, minlength=len(full))
+    starts = np.concatenate([[0], np.cumsum(6 + BLOCK // 8 * width + 5 * wrong)])
+    begin = starts[:-1]
+    out = np.zeros(starts[-1], np.uint8)
+    out[begin[:, None] + np.arange(4)] = low.astype("<u4").view(np.uint8).reshape(-1, 4)
+    out[begin + 4], out[begin + 5] = width, wrong
+    for w in np.unique(width[width > 0]).tolist():
         own = np.flatnonzero(width == w)
-        part = rest[own]
-        bits = (part[:, :, None] >> np.arange(w)) & 1
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(own), -1), axis=1, bitorder="little")
-        high = part >> w
-        for k, i in enumerate(own):
-            at = np.flatnonzero(high[k])
-            out[i] = struct.pack("<IBB", low[i], w, len(at)) + packed[k].tobytes() + at.astype("u1").tobytes() + high[k][at].astype("<u4").tobytes()
-    return np.concatenate([[0], np.cumsum([len(b) for b in out])]).astype(np.uint32), b"".join(out)
+        out[begin[own][:, None] + 6 + np.arange(BLOCK // 8 * w)] = _packed(rest[own].reshape(-1, 8), w).reshape(len(own), -1)
+    if len(block):
+        number = _places(wrong)[1]
+        first = begin[block] + 6 + BLOCK // 8 * width[block]
+        out[first + number] = where
+        out[(first + wrong[block] + 4 * number)[:, None] + np.arange(4)] = high[block, where].astype("<u4").view(np.uint8).reshape(-1, 4)
+    return starts.astype(np.uint32), out.tobytes()
 
 
 def unpack(starts: np.ndarray, blocks: bytes, n: int) -> np.ndarray:
@@ -73,17 +108,16 @@ def unpack(starts: np.ndarray, blocks: bytes, n: int) -> np.ndarray:
     begin = starts[:-1].astype(np.int64)
     low = np.ascontiguousarray(flat[begin[:, None] + np.arange(4)]).view("<u4")[:, 0].astype(np.int64)
     width, wrong = flat[begin + 4].astype(np.int64), flat[begin + 5].astype(np.int64)
-    out = np.empty((len(begin), BLOCK), np.int64)
-    for w in np.unique(width):
+    out = np.zeros((len(begin), BLOCK), np.int64)
+    for w in np.unique(width[width > 0]).tolist():
         own = np.flatnonzero(width == w)
-        size = BLOCK * int(w) // 8
-        bits = np.unpackbits(flat[begin[own][:, None] + 6 + np.arange(size)], axis=1, bitorder="little")
-        out[own] = bits.reshape(len(own), BLOCK, int(w)) @ (1 << np.arange(w, dtype=np.int64)) if w else 0
-    for i in np.flatnonzero(wrong):
-        at = int(begin[i]) + 6 + BLOCK * int(width[i]) // 8
-        where = flat[at : at + wrong[i]]
-        high = np.frombuffer(blocks, "<u4", wrong[i], at + int(wrong[i])).astype(np.int64)
-        out[i, where] += high << width[i]
+        rows = flat[begin[own][:, None] + 6 + np.arange(BLOCK // 8 * w)]
+        out[own] = _unpacked(rows.reshape(-1, w), w).reshape(len(own), BLOCK)
+    if wrong.any():
+        block, number = _places(wrong)
+        first = begin[block] + 6 + BLOCK // 8 * width[block]
+        high = np.ascontiguousarray(flat[(first + wrong[block] + 4 * number)[:, None] + np.arange(4)]).view("<u4")[:, 0].astype(np.int64)
+        out[block, flat[first + number]] += high << width[block]
     return (out + low[:, None]).reshape(-1)[:n].astype(np.uint32)
 
 
@@ -105,27 +139,36 @@ def read_chunk(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chunks(path: str, end_id: int, per_chunk: int):
-    """For mapInArrow over one sorted partition: rows of chunks."""
+    """For mapInArrow over one sorted partition: rows of chunks, each up to the document that fills it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         part, seq, waiting = 0, 0, 0
-        docs: list[tuple] = []
+        docs: list[np.ndarray] = []
         held: list[np.ndarray] = []
 
         def chunk() -> pa.RecordBatch:
-            data = chunk_bytes(np.array(docs, DOCUMENT), np.concatenate(held))
+            data = chunk_bytes(np.concatenate(docs), np.concatenate(held))
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int64()), "n_ids": pa.array([waiting], pa.int64()), "chunk": pa.array([data], pa.binary())})
 
         for batch in batches:
             part = batch.column("__part")[0].as_py() if batch.num_rows else part
-            keys, at = batch.column("__id").to_pylist(), 0
+            keys, row = batch.column("__id"), 0
             for piece in pieces(utf8(batch.column("__text")), BYTES_AT_ONCE):
                 ids, lengths = bpe.encode(piece)
-                for own in np.split(ids, np.cumsum(lengths)[:-1]):
-                    held.append(np.append(own, np.int32(end_id)))
-                    docs.append((keys[at] or 0, keys[at] is None, len(held[-1])))
-                    waiting += len(held[-1])
-                    at += 1
+                ids = np.insert(ids, np.cumsum(lengths), end_id)
+                records = np.empty(len(piece), DOCUMENT)
+                own = keys.slice(row, len(piece))
+                records["doc_id"], records["null"], records["n"] = own.fill_null(0).to_numpy(), own.is_null().to_numpy(zero_copy_only=False), lengths + 1
+                row += len(piece)
+                ends = np.cumsum(lengths + 1)
+                at = 0
+                while at < len(piece):
+                    before = int(ends[at - 1]) if at else 0
+                    end = min(int(np.searchsorted(ends, before + per_chunk - waiting)) + 1, len(piece))
+                    docs.append(records[at:end])
+                    held.append(ids[before : ends[end - 1]])
+                    waiting += int(ends[end - 1]) - before
+                    at = end
                     if waiting >= per_chunk:
                         yield chunk()
                         docs, held, waiting, seq = [], [], 0, seq + 1
@@ -158,7 +201,8 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             docs, ids = read_chunk(data.as_buffer().to_pybytes())
             n = docs["n"].astype(np.int64)
             ends = np.cumsum(n)
-            sums = [zlib.crc32(x.astype("<u4").tobytes()) for x in np.split(ids, ends[:-1])]
+            view = memoryview(ids.astype("<u4").tobytes())
+            sums = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array(np.full(len(n), part, np.int32)), "seq": pa.array(np.full(len(n), seq, np.int64)),
                 "doc_id": pa.array(docs["doc_id"].astype(np.int64), mask=docs["null"] > 0),
