@@ -26,20 +26,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class the document with the least id stays; rows without an id stay all."""
-    classes = dart.near_duplicates(docs)
-    first = materialise(classes.filter("doc_id = class_id").select("doc_id").distinct(), "kept-ids")
-    kept = docs.join(first, "doc_id", "left_semi")
-    # Rows that repeat an id are one document: the first by its text's hash stays.
-    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    repeated = materialise(repeated, "repeated-ids")
-    if not repeated.isEmpty():
-        one = kept.join(repeated, "doc_id", "left_semi")
-        names = [c for c in docs.columns if c != "doc_id"]
-        one = one.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("__h"), *names)).alias("__one"))
-        one = one.select(*[F.col("doc_id") if c == "doc_id" else F.col("__one")[c].alias(c) for c in docs.columns])
-        kept = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """Of each class of texts one document stays, that with the least id; see `dart.distinct_documents`."""
+    return dart.distinct_documents(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
