@@ -28,7 +28,7 @@ are ignored by `near_duplicates` and kept by `distinct_documents`, where working
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.text import list_array, mixed, pieces, ragged, raw, utf8
+from riskspark.llm.text import list_array, mixed, pieces, ragged, raw, sieve, sifted, utf8
 from riskspark.operators.keyed import first_per_key
 from riskspark.session import discard, materialise
 
@@ -48,6 +48,8 @@ DARTS = 7.0
 SMALL = 8
 #: Sizes of sets that one step of the search by size joins: a step is so much larger than the one before.
 SIZE_STEP = 1.02
+#: Words of 64 bits in a bitmap of a document's extra shingles.
+BIT_WORDS = 8
 #: Text and rows that a worker sketches at once: a row throws some thousand darts.
 BYTES_AT_ONCE, ROWS_AT_ONCE = 1 << 20, 512
 #: Bytes, or words, of a long text that one step works on.
@@ -317,20 +319,34 @@ def _centres(large: DataFrame) -> DataFrame:
             return heaviest.select("key", F.col("top.id").alias("id")).join(now, "id").select("key", F.col("up").alias("centre"))
 
 
-def _around(large: DataFrame, sets: DataFrame) -> DataFrame:
-    """(id, n, centre, centre_n, common, extra) of the members of large buckets and their buckets' centres.
+def _around(sets: DataFrame) -> DataFrame:
+    """(id, n, centre, centre_n, common, extra) of the sets (id, set, centres) and each of their buckets' centres.
 
     `common` is the size of the overlap, `extra` the member's shingles that the centre doesn't have.
     """
-    centres = materialise(_centres(large), "dart-key-centres")
-    own = large.join(centres, "key").select("id", "n", "centre").filter("id <> centre").distinct()
-    own = materialise(own, "dart-own-centres")
-    x = own.join(sets.select("id", "set"), "id").join(sets.select(F.col("id").alias("centre"), F.col("set").alias("centre_set")), "centre")
+    own = sets.select("id", "set", F.explode("centres").alias("centre")).filter("id <> centre")
+    centre = sets.filter(F.array_contains("centres", F.col("id"))).select(F.col("id").alias("centre"), F.col("set").alias("centre_set"))
+    x = own.join(centre, "centre")
     extra = F.array_except("set", "centre_set")
-    out = x.select("id", "n", "centre", F.size("centre_set").alias("centre_n"), (F.size("set") - F.size(extra)).alias("common"), extra.alias("extra"))
+    out = x.select("id", F.size("set").alias("n"), "centre", F.size("centre_set").alias("centre_n"), (F.size("set") - F.size(extra)).alias("common"), extra.alias("extra"))
     return materialise(out, "dart-around")
 
 
+def _bitmap(extra: Column) -> Column:
+    """array<long>: a bit for each extra shingle's hash."""
+    def word(w: Column) -> Column:
+        own = F.filter(extra, lambda s: F.pmod(F.floor(s / 64), F.lit(BIT_WORDS)) == w)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda a, s: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(s, F.lit(64)).cast("int"))))
+    return F.transform(F.sequence(F.lit(0), F.lit(BIT_WORDS - 1)), word)
+
+
+def _set_bits(bits: Callable[[int], Column]) -> Column:
+    total = F.bit_count(bits(0))
+    for w in range(1, BIT_WORDS):
+        total = total + F.bit_count(bits(w))
+    return total
+
+
 def _open_pairs(around: DataFrame, classes: DataFrame, alike: float) -> DataFrame:
     """Pairs (a, b) around one centre that are in different classes (id, class) and may be alike.
 
@@ -349,7 +365,9 @@ def _open_pairs(around: DataFrame, classes: DataFrame, alike: float) -> DataFram
     # Any partner has at least `alike` times the size, so this many extras are shared at least.
     least = F.greatest(F.lit(1), F.ceil(F.lit(alike) * F.col("n") - 1e-9).cast("int") - F.col("common"))
     asking = rows.withColumn("prefix", F.col("e") - least + 1).filter("prefix >= 1")
-    extras = around.select("id", "centre", "extra").join(asking, ["id", "centre"]).withColumn("s", F.explode("extra")).drop("extra")
+    asking = around.select("id", "centre", "extra").join(asking, ["id", "centre"])
+    asking = materialise(asking.withColumn("bits", _bitmap(F.col("extra"))), "dart-asking")
+    extras = asking.withColumn("s", F.explode("extra")).drop("extra", "bits")
     often = extras.groupBy("centre", "s").agg(F.count("*").alias("f"), (F.min("class") < F.max("class")).alias("mixed")).filter("f > 1")
     shared = extras.join(materialise(often, "dart-shared"), ["centre", "s"])
     # Extras of one document alone come first in the order; then the rarer, ties by the shingle.
@@ -357,7 +375,8 @@ def _open_pairs(around: DataFrame, classes: DataFrame, alike: float) -> DataFram
     heads = shared.groupBy("id", "n", "centre", "common", "e", "class", "prefix").agg(order.alias("all"))
     left = F.col("prefix") - (F.col("e") - F.size("all"))
     heads = heads.filter(left > 0).withColumn("x", F.explode(F.slice("all", F.lit(1), left))).filter("x.mixed")
-    heads = materialise(heads.select("id", "n", "centre", "common", "e", "class", F.col("x.s").alias("s")), "dart-heads")
+    heads = heads.select("id", "n", "centre", "common", "e", "class", F.col("x.s").alias("s"))
+    heads = materialise(heads.join(asking.select("id", "centre", "bits"), ["id", "centre"]), "dart-heads")
 
     def joined(x: DataFrame, y: DataFrame, on: list[str], also: Column) -> DataFrame:
         x, y = x.alias("x"), y.alias("y")
@@ -368,7 +387,10 @@ def _open_pairs(around: DataFrame, classes: DataFrame, alike: float) -> DataFram
 
     both = lambda c: F.least(f"x.{c}", f"y.{c}")
     needed = _needed(F.col("x.n"), F.col("y.n"), alike)
-    by_extra = joined(heads, heads, ["centre", "s"], (F.col("x.id") < F.col("y.id")) & (both("common") + both("e") >= needed))
+    # Of the extras shared each sets a bit that both have, but for those of one document that share a bit.
+    met = _set_bits(lambda w: F.get("x.bits", F.lit(w)).bitwiseAND(F.get("y.bits", F.lit(w))))
+    lost = F.least(*[F.col(f"{d}.e") - _set_bits(lambda w, d=d: F.get(f"{d}.bits", F.lit(w))) for d in "xy"])
+    by_extra = joined(heads, heads, ["centre", "s"], (F.col("x.id") < F.col("y.id")) & (both("common") + F.least(both("e"), met + lost) >= needed))
 
     # Nearly within the centre both: at most this size is left for the partner of one outside the centre's class.
     step = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(SIZE_STEP)) + 1e-9).cast("int")
@@ -388,23 +410,32 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, alike: float, by_co
     text, place = F.col(text_col), F.xxhash64(F.col(text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), place.alias("place"), sketch(text, by_count).alias("s"))
     rows = materialise(rows.select("doc_id", "place", "s.*"), "dart-sketches")
-    # One text for each set, the row that has it counted, as rows may repeat.
-    texts = rows.filter("n > 0").groupBy("a", "b", "n", "place", "doc_id").agg(F.count("*").alias("rows"), F.first("bands").alias("bands"))
-    same = texts.groupBy("a", "b", "n").agg(F.min(F.struct("place", "doc_id", "rows")).alias("of"), F.first("bands").alias("bands"))
+    same = rows.filter("n > 0").groupBy("a", "b", "n").agg(F.min(F.struct("place", "doc_id")).alias("of"), F.first("bands").alias("bands"))
     same = materialise(same.select(F.monotonically_increasing_id().alias("id"), "a", "b", "n", "of", "bands"), "dart-sets")
     spread = same.select("id", "n", F.explode("bands").alias("key"))
-    # Buckets of one are most; the members of the others are written.
+    # Buckets of one are most; the members of the others are written. The sieve keeps most of the rest from the join.
     shared = materialise(spread.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "dart-buckets")
-    members = materialise(spread.join(shared, "key"), "dart-members")
-    wanted = same.select("id", "of").join(materialise(members.select("id").distinct(), "dart-ids"), "id")
-    wanted = materialise(wanted.select("id", F.col("of.place").alias("place"), F.col("of.doc_id").alias("of"), "of.rows"), "dart-wanted")
-    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), place.alias("place"), text.alias("text"))
-    found = found.join(wanted, (found["place"] == wanted["place"]) & found["doc_id"].eqNullSafe(wanted["of"])).select("id", "rows", "text")
-    once = found.filter("rows = 1").select("id", "text").unionByName(found.filter("rows > 1").dropDuplicates(["id"]).select("id", "text"))
-    sets = materialise(once.select("id", shingle_set(F.col("text"), by_count).alias("set")), "dart-shingles")
-
+    likely = sifted(spread, F.col("key"), sieve(shared, "key")).filter("__may").drop("__may")
+    members = materialise(likely.join(shared, "key"), "dart-members")
     large = members.filter(F.col("m") > SMALL)
-    around = _around(large, sets)
+    centres = large.join(materialise(_centres(large), "dart-key-centres"), "key").groupBy("id").agg(F.collect_set("centre").alias("centres"))
+    ids = members.select("id").distinct().join(centres, "id", "left")
+    wanted = same.select("id", "of").join(materialise(ids, "dart-ids"), "id")
+    wanted = materialise(wanted.select("id", F.col("of.place").alias("place"), F.col("of.doc_id").alias("of"), F.coalesce("centres", F.array().cast("array<bigint>")).alias("centres")), "dart-wanted")
+    held = sieve(wanted, "place")
+    # Rows equal in id and text to the one wanted: they are looked up once.
+    again = sifted(rows.select("doc_id", "place"), F.col("place"), held).filter("__may")
+    again = again.join(wanted, (again["place"] == wanted["place"]) & again["doc_id"].eqNullSafe(wanted["of"])).groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1")
+    again = materialise(again, "dart-again")
+    wanted = materialise(wanted.join(again, "id", "left"), "dart-wanted")
+    found = sifted(docs.select(F.col(id_col).cast("long").alias("doc_id"), place.alias("place"), text.alias("text")), F.col("place"), held).filter("__may")
+    found = found.join(wanted, (found["place"] == wanted["place"]) & found["doc_id"].eqNullSafe(wanted["of"])).select("id", "centres", "rows", "text")
+    once = found.filter("rows is null")
+    if not again.isEmpty():
+        once = once.unionByName(found.filter("rows > 1").dropDuplicates(["id"]))
+    sets = materialise(once.select("id", "centres", shingle_set(F.col("text"), by_count).alias("set")), "dart-shingles")
+
+    around = _around(sets)
     links = _compared(materialise(_small_pairs(members, alike), "dart-pairs"), sets, alike)
     star = around.filter(F.col("common") >= _needed(F.col("n"), F.col("centre_n"), alike)).select(F.col("id").alias("a"), F.col("centre").alias("b"))
     links = materialise(links.unionByName(star), "dart-links")
@@ -434,17 +465,27 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Of rows that are equal in id and text any one stays, with its further columns. Texts without words stay all.
     """
     rows, per_set = _classified(docs, id_col, text_col, alike, by_count)
-    rows = rows.filter("n > 0").select("doc_id", "place", "a", "b", "n")
-    first = rows.join(per_set, ["a", "b", "n"]).groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "place")).alias("x"))
-    first = materialise(first.select(F.col("class").alias("__near_class"), F.col("x.doc_id").alias("__near_id"), F.col("x.place").alias("__near_place")), "dart-first")
+    rows = materialise(rows.filter("n > 0").select("doc_id", "place", "a", "b", "n").join(per_set, ["a", "b", "n"]).select("doc_id", "place", F.col("class").alias("__near_class")), "dart-rows")
+    first = rows.groupBy("__near_class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "place")).alias("x"), F.count("*").alias("c"))
+    # A text alone in its class stays without a join; the sieve tells most of these.
+    crowded = first.filter("c > 1").select("__near_class", F.col("x.doc_id").alias("__near_id"), F.col("x.place").alias("__near_place"))
+    crowded = materialise(crowded, "dart-first")
+    places = rows.join(crowded.select("__near_class"), "__near_class").select("place")
+    words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    marked = sifted(docs.withColumn("__near_of", F.xxhash64(F.col(text_col))), F.col("__near_of"), sieve(places, "place"))
+    clear = marked.filter(~(words & F.col("__may"))).select(*docs.columns)
+
+    # Of the others, those alone in their class after all, and each class's first row.
+    lone = first.filter("c = 1").select("__near_class", F.col("x.doc_id").alias("__near_id"), F.col("x.place").alias("__near_place"))
+    lone = sifted(lone, F.col("__near_place"), sieve(places, "place")).filter("__may").drop("__may")
+    chosen = materialise(crowded.unionByName(lone), "dart-chosen")
     again = rows.groupBy("doc_id", "place").agg(F.count("*").alias("c")).filter("c > 1")
-    again = again.join(first, again["doc_id"].eqNullSafe(first["__near_id"]) & (again["place"] == first["__near_place"]))
+    again = again.join(crowded, again["doc_id"].eqNullSafe(crowded["__near_id"]) & (again["place"] == crowded["__near_place"]))
     again = materialise(again.select("__near_class", F.lit(True).alias("__near_again")).distinct(), "dart-again")
-    first = materialise(first.join(again, "__near_class", "left"), "dart-first")
-    words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__near_id")) & (F.xxhash64(F.col(text_col)) == F.col("__near_place"))
-    kept = docs.filter(words).join(first, same)
+    chosen = materialise(chosen.join(again, "__near_class", "left"), "dart-chosen")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__near_id")) & (F.col("__near_of") == F.col("__near_place"))
+    kept = marked.filter(words & F.col("__may")).join(chosen, same)
     once = kept.filter("__near_again is null").select(*docs.columns)
     if not again.isEmpty():
         once = once.unionByName(kept.filter("__near_again").dropDuplicates(["__near_class"]).select(*docs.columns))
-    return once.unionByName(docs.filter(~words))
+    return clear.unionByName(once)

@@ -44,6 +44,34 @@ def bounded_sample(docs: DataFrame, groups: DataFrame, per_group: int, id_col: s
     return texts.groupBy("group", "id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
 
+#: Bits of a sieve, 16 MB in all, in rows of 4 KB: the bound of what is broadcast.
+SIEVE_BITS = 1 << 27
+
+
+def _sieve_place(key: Column) -> Column:
+    """A place from 1 on."""
+    return F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS)) + 1
+
+
+def sieve(keys: DataFrame, key: str) -> DataFrame:
+    """A bitmap of the hashes of keys, rows of (bucket, bits); its size is bounded whatever the number of keys."""
+    place = _sieve_place(F.col(key))
+    return materialise(keys.groupBy(F.bitmap_bucket_number(place).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__bits")), "sieve")
+
+
+def sifted(df: DataFrame, key: Column, held: DataFrame) -> DataFrame:
+    """The rows of `df` with `__may`: false only if the key is none of those in the sieve, and so no join with them finds it.
+
+    The sieve goes to all tasks and the rows stay where they are. The more keys it holds, the more rows may be in it.
+    """
+    place = _sieve_place(key)
+    position = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", F.coalesce(byte, F.lit(0)), F.pmod(position, F.lit(8)).cast("int")).bitwiseAND(1) == 1
+    found = df.withColumn("__at", F.bitmap_bucket_number(place)).join(F.broadcast(held), F.col("__at") == F.col("__bucket"), "left")
+    return found.withColumn("__may", bit).drop("__at", "__bucket", "__bits")
+
+
 def utf8(texts: pa.Array) -> pa.Array:
     """The texts as large strings, NULL as empty."""
     if isinstance(texts, pa.ChunkedArray):
