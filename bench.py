@@ -35,8 +35,8 @@ HEADLINE = {
     "sampled_tape": "sampled_tape",
     "training_set": "training_set",
     "compare_scores": "compare_scores",
-    "fit_models": "fit_models",
-    "grid_search": "grid_search",
+    "model_metrics_by_split": "model_metrics_by_split",
+    "tape_anova": "tape_anova",
 }
 
 

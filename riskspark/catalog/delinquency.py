@@ -18,16 +18,22 @@ INFO = """
     cast(sum(CurrentAmount) as decimal(28,2)) as Balance
   from {source} s where SnapshotDate = last_day(SnapshotDate) group by AccountNumber, SnapshotDate)"""
 
-BACK = "over (partition by AccountNumber order by SnapshotDate rows between unbounded preceding and current row)"
-AHEAD = "over (partition by AccountNumber order by SnapshotDate rows between 1 following and unbounded following)"
+# Stated here on their own: the codes of each bucket, and what a code must exceed to be past it.
+EXACT = {"1": 1, "30": 2, "60": 3, "90": 4, "120": 5}
+PAST = {"30": 1, "60": 2, "90": 3, "120": 4}
 
-EVENTS = INFO.replace("{source}", "loan_portfolio") + ",\n events as (select *,\n" + ",\n".join(
-    [f" max(case when Delinquency = {k} then SnapshotDate end) {BACK} as Last{b}DateE" for b, k in d.EXACT.items()]
-    + [f" max(case when Delinquency > {k} then SnapshotDate end) {BACK} as Last{b}Date" for b, k in d.PAST.items()]
-    + [f" max(case when FBE = 1 then SnapshotDate end) {BACK} as LastFBEDate"]
-    + [f" min(case when Delinquency > {k} then SnapshotDate end) {AHEAD} as Next{b}Date" for b, k in d.PAST.items()]
-    + [f" min(case when Delinquency = 9 then SnapshotDate end) {AHEAD} as NextFrozenDate",
-       f" min(case when FBE = 1 then SnapshotDate end) {AHEAD} as NextFBEDate"]) + "\n from info)"
+
+def _nearest(name: str, event: str, ahead: bool = False) -> str:
+    """The nearest month of an event among the account's other months, before (or at) a month or after it."""
+    return f" {'min' if ahead else 'max'}(o.SnapshotDate) filter ({event} and o.SnapshotDate {'>' if ahead else '<='} m.SnapshotDate) as {name}"
+
+
+EVENTS = INFO.replace("{source}", "loan_portfolio") + ",\n events as (select m.AccountNumber, m.SnapshotDate, m.Delinquency, m.FBE, m.Balance,\n" + ",\n".join(
+    [_nearest(f"Last{b}DateE", f"o.Delinquency = {k}") for b, k in EXACT.items()]
+    + [_nearest(f"Last{b}Date", f"o.Delinquency > {k}") for b, k in PAST.items()] + [_nearest("LastFBEDate", "o.FBE = 1")]
+    + [_nearest(f"Next{b}Date", f"o.Delinquency > {k}", True) for b, k in PAST.items()]
+    + [_nearest("NextFrozenDate", "o.Delinquency = 9", True), _nearest("NextFBEDate", "o.FBE = 1", True)]
+) + "\n from info m join info o on o.AccountNumber = m.AccountNumber group by all)"
 
 
 def _flag(cond: str) -> str:
@@ -40,9 +46,9 @@ def _worst(test: str) -> str:
 
 
 LOOKBACK = ", ".join(
-    [f"cast(SnapshotDate - Last{b}DateE as int) as TimeSince{b}" for b in d.PAST]
-    + [f"{_flag(f'Last{b}Date + interval {m} month >= SnapshotDate')} as Ever{b}In{m}Months" for b in d.PAST for m in (6, 12)]
-    + [f"{_flag(f'Last{b}Date is not null')} as Ever{b}" for b in d.PAST]
+    [f"cast(SnapshotDate - Last{b}DateE as int) as TimeSince{b}" for b in PAST]
+    + [f"{_flag(f'Last{b}Date + interval {m} month >= SnapshotDate')} as Ever{b}In{m}Months" for b in PAST for m in (6, 12)]
+    + [f"{_flag(f'Last{b}Date is not null')} as Ever{b}" for b in PAST]
     + [f"{_worst('{} + interval ' + str(m) + ' month >= SnapshotDate')} as WorstDelinquency{m}M" for m in (6, 12)]
     + [f"{_worst('{} is not null')} as WorstDelinquency"])
 PAYMENT_FREE = ", ".join(
@@ -50,9 +56,9 @@ PAYMENT_FREE = ", ".join(
     + [f"{_flag(f'LastFBEDate + interval {m} month >= SnapshotDate')} as EverFBEIn{m}Months" for m in (6, 12, 24, 36, 48)]
     + [f"{_flag('LastFBEDate is not null')} as EverFBE"])
 FORWARD = ", ".join(
-    [f"{_flag(f'Next{b}Date <= SnapshotDate + interval {y} year')} as Ever{b}After{12 * y}Months" for b in d.PAST for y in (1, 2, 3, 4)]
+    [f"{_flag(f'Next{b}Date <= SnapshotDate + interval {y} year')} as Ever{b}After{12 * y}Months" for b in PAST for y in (1, 2, 3, 4)]
     + [f"{_flag(f'NextFrozenDate <= SnapshotDate + interval {y} year')} as FrozenAfter{12 * y}Months" for y in (1, 2, 3, 4)])
-NAMES = [*d.PAST, "Frozen"]
+NAMES = [*PAST, "Frozen"]
 EXPOSURE = ", ".join(
     f"(select x.Balance from info x where x.AccountNumber = e.AccountNumber and x.SnapshotDate = e.Next{b}Date) as ExposureAtFirst{b}"
     for b in NAMES)

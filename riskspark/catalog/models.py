@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from riskspark.catalog.registry import query
 from riskspark.functions.scalars import min_max_scale
 from riskspark.operators import metrics as m
 from riskspark.operators import modelling as ml
+from riskspark.operators.forests import forest_grid_search
 from riskspark.operators.scoring import BEHAVIOUR
 from riskspark.plans.development import training_set
 from riskspark.session import materialise
 
 LABEL = "Ever90_12M"
-FEATURES = list(ml.FEATURES)
+# Stated here on their own: the features of the behaviour model and their weights.
+WEIGHTS = {"CoappFlag": -0.44414603, "Ever30In6Months": 0.18778622, "WorstDelinquency6M": 0.3539554, "CurrentDelinquencyStatus": 0.70178643}
+FEATURES = list(WEIGHTS)
 
 
 def _rounded(df, *columns, digits=9):
@@ -127,11 +129,6 @@ def anova_f(t):
     return _rounded(m.anova_f(t.model_tape, FEATURES, LABEL), "f_score", digits=4)
 
 
-@query("anova_p_values")
-def anova_p_values(t):
-    return ml.anova_p_values(t.model_tape, FEATURES, LABEL)
-
-
 @query("feature_importance_rank", "with imp as (select 'ANOVA' as method, feature, f_score as importance from (" + " union all ".join(f"select * from {_anova(f)}" for f in FEATURES) + """) y
   union all """ + " union all ".join(f"select 'CORR', '{f}', abs(corr({f}, Ever90_12M)) from model_tape" for f in FEATURES) + """)
   select feature, round(sum(importance / total), 6) as cumulative_importance from imp join (select method, sum(importance) as total from imp group by 1) s on s.method = imp.method group by 1""", "model_tape")
@@ -153,8 +150,8 @@ DIVISORS = {"CoappFlag": None, "Ever30In6Months": 20, "WorstDelinquency6M": 30,
 
 def _response(f: str) -> str:
     value = "(i % 2)::double" if DIVISORS[f] is None else f"floor(i * max_{f}::double / {DIVISORS[f]})"
-    others = " + ".join(f"mean_{o} * {w}" for o, w in zip(BEHAVIOUR.features, BEHAVIOUR.coefficients) if o != f)
-    weight = dict(zip(BEHAVIOUR.features, BEHAVIOUR.coefficients))[f]
+    others = " + ".join(f"mean_{o} * {w}" for o, w in WEIGHTS.items() if o != f)
+    weight = WEIGHTS[f]
     return f"select i::int as i, '{f}' as feature, {value} as value, round(1 / (1 + exp(-({value} * {weight} + {others}))), 9) as P from range(100) g(i), s"
 
 
@@ -193,16 +190,10 @@ def fitted_probability(t):
     return ml.default_probability(model, validation).select("AccountNumber", "SnapshotDate", "Probability_model", "prediction")
 
 
-@query("calibrate")
-def calibrate(t):
-    model = ml.calibrate(t.model_tape)
-    return ml.coefficients_table("calibration", model, t.spark)
-
-
 @query("grid_search")
 def grid_search(t):
     train, validation = _parts(t)
-    return ml.rank_grid(ml.grid_search(RandomForestClassifier(seed=42), ml.combinations_of(ml.FOREST_GRID), train, validation))
+    return ml.rank_grid(forest_grid_search(ml.FOREST_GRID, train, validation))
 
 
 @query("rank_grid", """

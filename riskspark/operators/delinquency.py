@@ -205,9 +205,13 @@ def delinquency_features(portfolio: DataFrame, applications: DataFrame, payment_
     """
     dates = with_event_dates(delinquency_info(portfolio, payment_free_months, history_start)).drop("Delinquency", "Balance")
     dates = dates.join(forbearance_summary(forbearance), "AccountNumber", "left")
+    rows = portfolio.filter(F.col("SnapshotDate") > as_date(output_after)) if output_after is not None else portfolio
+    return scored_panel(rows, applications, dates)
+
+
+def scored_panel(portfolio: DataFrame, applications: DataFrame, dates: DataFrame) -> DataFrame:
+    """The panel of these portfolio rows with the event dates and forbearance of their month in `dates`."""
     rows = portfolio.filter(is_month_end(F.col("SnapshotDate")))
-    if output_after is not None:
-        rows = rows.filter(F.col("SnapshotDate") > as_date(output_after))
     status = account_status(F.col("IsOpen"), F.col("DelinquencyStatus")).alias("AccountStatus")
     rows = rows.select("AccountNumber", "SnapshotDate", "IsOpen", status, "CurrentAmount", "MOB", "DisbursedDate",
                        "RemainingTenor", F.col("DelinquencyStatusCode").alias("CurrentDelinquencyStatus"))
@@ -220,3 +224,41 @@ def delinquency_features(portfolio: DataFrame, applications: DataFrame, payment_
     panel = rows.join(dates, ["AccountNumber", "SnapshotDate"])
     panel = with_forbearance_flags(derived_features(time_to_first(panel)))
     return panel.drop(*[c for c in panel.columns if c.endswith(("Date", "DateE")) and c.startswith(("Last", "Next"))])
+
+
+#: The dates of a state: the last month of each event so far.
+STATE_DATES = (*[f"Last{b}DateE" for b in EXACT], *[f"Last{b}Date" for b in PAST], "LastFBEDate")
+
+
+def account_state(info: DataFrame) -> DataFrame:
+    """AccountNumber and the last month of each event, from severities per (account, month).
+
+    The state of two spans of months together is the later of their dates, so states merge in any order.
+    """
+    d, day = F.col("Delinquency"), F.col("SnapshotDate")
+    events = {f"Last{b}DateE": d == k for b, k in EXACT.items()} | {f"Last{b}Date": d > k for b, k in PAST.items()} | {"LastFBEDate": F.col("FBE") == 1}
+    return info.groupBy("AccountNumber").agg(*[F.max(F.when(e, day)).alias(name) for name, e in events.items()])
+
+
+def merged_state(*states: DataFrame) -> DataFrame:
+    """The state after all the spans of months that the states stand for."""
+    every = states[0]
+    for state in states[1:]:
+        every = every.unionByName(state)
+    return every.groupBy("AccountNumber").agg(*[F.max(c).alias(c) for c in STATE_DATES])
+
+
+def month_features(portfolio_month: DataFrame, applications: DataFrame, payment_free_months: DataFrame, forbearance: DataFrame, state: DataFrame) -> DataFrame:
+    """`delinquency_features` of one month from that month and the state before it, instead of all history.
+
+    No later month is known, as in a run on the day: what looks ahead is empty.
+    """
+    info = delinquency_info(portfolio_month, payment_free_months)
+    now = account_state(info)
+    before = state.select("AccountNumber", *[F.col(c).alias(f"__{c}") for c in STATE_DATES])
+    dates = info.join(now, "AccountNumber").join(before, "AccountNumber", "left")
+    dates = dates.withColumns({c: F.greatest(c, f"__{c}") for c in STATE_DATES}).drop(*[f"__{c}" for c in STATE_DATES])
+    ahead = {f"Next{b}Date": F.lit(None).cast("date") for b in (*PAST, "Frozen", "FBE")}
+    ahead |= {f"ExposureAtFirst{b}": F.when(F.lit(False), F.col("Balance")) for b in (*PAST, "Frozen")}
+    dates = dates.withColumns(ahead).drop("Delinquency", "Balance")
+    return scored_panel(portfolio_month, applications, dates.join(forbearance_summary(forbearance), "AccountNumber", "left"))

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.session import materialise
 
-BUCKETS = 256
-
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,
                   rank_col: str | None = None) -> DataFrame:
@@ -54,38 +51,30 @@ def prefer_flagged(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     return attach(df, flagged, keys).filter(keep).drop("__flagged").select(*df.columns)
 
 
-def bucket_of(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
-    """Add `__bucket`, the range of `key` a row falls in: ordered, and about equally filled by rows.
+def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Running sums `cum_<value>` and sums `total_<value>` over an order, of all rows or within groups `by`.
 
-    One pass over the key column finds the cut points; at most `buckets` numbers reach the driver.
-    """
-    x = F.col(key).cast("double")
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(x.alias("x")).approxQuantile("x", shares, 1 / (4 * buckets))
-    if not cuts:
-        return df.withColumn("__bucket", F.lit(0))
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    binned = Bucketizer(splits=splits, inputCol="__x", outputCol="__bucket").transform(df.withColumn("__x", x))
-    return binned.withColumn("__bucket", F.col("__bucket").cast("int")).drop("__x")
-
-
-def running_totals(per_key: DataFrame, bucket_key: str, order: Sequence[str], values: Sequence[str],
-                   buckets: int = BUCKETS) -> DataFrame:
-    """Running sums `cum_<value>` over a global order, without a one-task window.
-
-    `per_key` has one row per distinct `order` (the first of which is the numeric `bucket_key`), so a
-    bucket never holds more than its share of keys. It is written once, as finding the cut points, the
-    bucket sums and the rows all read it. Sums per bucket become offsets - a frame of at most `buckets`
-    rows, hence the broadcast - and the window runs inside each bucket.
+    A distributed prefix sum: rows are dealt to ranges of the whole key, groups and order, sized by the data, and
+    written once. The sums of each range, a row a group and range, become offsets and totals, and a window runs
+    inside each (group, range). So a hot group, or a hot value of the first order column, is many tasks, and `df` is
+    computed once. Rows with equal keys are in one range and take their places in any order; a NULL group is a
+    group.
     """
-    per_key = materialise(per_key, "per-key")
-    binned = bucket_of(per_key, bucket_key, buckets)
-    sums = binned.groupBy("__bucket").agg(*[F.sum(v).alias(f"__sum_{v}") for v in values])
-    before = Window.partitionBy(F.lit(0)).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [F.col(c) for c in (*by, *order)]
+    ranged = materialise(df.repartitionByRange(*keys).withColumn("__range", F.spark_partition_id()), "ranges")
+    sums = ranged.groupBy(*by, "__range").agg(*[F.sum(v).alias(f"__sum_{v}") for v in values])
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    before = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        "__bucket", *[F.coalesce(F.sum(f"__sum_{v}").over(before), F.lit(0)).alias(f"__off_{v}") for v in values]
-    )
-    inside = Window.partitionBy("__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = binned.join(F.broadcast(offsets), "__bucket")
-    cums = {f"cum_{v}": F.sum(v).over(inside) + F.col(f"__off_{v}") for v in values}
-    return joined.withColumns(cums).drop("__bucket", *[f"__off_{v}" for v in values])
+        *[F.col(c).alias(f"__by_{c}") for c in by], F.col("__range").alias("__of"),
+        *[F.coalesce(F.sum(f"__sum_{v}").over(before), F.lit(0)).alias(f"__off_{v}") for v in values],
+        *[F.sum(f"__sum_{v}").over(group).alias(f"total_{v}") for v in values])
+    offsets = materialise(offsets, "range-offsets")
+    same = F.col("__range") == F.col("__of")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    inside = Window.partitionBy(*by, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # The window before the join: it needs no columns of the offsets.
+    within = ranged.withColumns({f"cum_{v}": F.sum(v).over(inside) for v in values})
+    cums = {f"cum_{v}": F.col(f"cum_{v}") + F.col(f"__off_{v}") for v in values}
+    return within.join(offsets, same).withColumns(cums).drop("__range", "__of", *[f"__by_{c}" for c in by], *[f"__off_{v}" for v in values])

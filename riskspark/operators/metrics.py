@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalars import logistic, right_closed_bin
+from riskspark.functions.special import f_tail
 from riskspark.operators.keyed import running_totals
 from riskspark.operators.scoring import LogitModel
 
@@ -49,74 +53,65 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, *by: str)
     return rates_from_counts(counts).withColumns(shares)
 
 
-def score_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row per distinct score: positives and negatives at it (pos, neg) and at or below it (cum_*).
+def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct score, within groups `by`: positives and negatives at it (pos, neg), at or below it
+    (cum_*) and of all (total_*).
 
     Rows whose score is NULL or NaN have no place in the order and are left out.
     """
     rows = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
-    per_score = rows.groupBy(F.col(score).cast("double").alias("score")).agg(
+    per_score = rows.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    return running_totals(per_score, "score", ["score"], ["pos", "neg"])
+    return running_totals(per_score, ["score"], ["pos", "neg"], by)
 
 
-def _totals(curve: DataFrame) -> tuple[Column, Column]:
-    sums = curve.agg(F.struct(F.sum("pos").cast("double").alias("p"), F.sum("neg").cast("double").alias("n"))).scalar()
-    return sums.getField("p"), sums.getField("n")
+def _true_false_positives() -> tuple[Column, Column, Column, Column]:
+    """Of a curve's row: true and false positives at its threshold, and all positives and negatives."""
+    p, n = F.col("total_pos").cast("double"), F.col("total_neg").cast("double")
+    return p - (F.col("cum_pos") - F.col("pos")), n - (F.col("cum_neg") - F.col("neg")), p, n
 
 
-def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
+def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """False and true positive rate at each threshold (score >= threshold counts as positive)."""
-    curve = score_curve(df, label, score)
-    p, n = _totals(curve)
-    tp = p - (F.col("cum_pos") - F.col("pos"))
-    fp = n - (F.col("cum_neg") - F.col("neg"))
-    return curve.select(F.col("score").alias("threshold"), F.try_divide(fp, n).alias("fpr"), F.try_divide(tp, p).alias("tpr"))
+    tp, fp, p, n = _true_false_positives()
+    return score_curve(df, label, score, by).select(*by, F.col("score").alias("threshold"), F.try_divide(fp, n).alias("fpr"), F.try_divide(tp, p).alias("tpr"))
 
 
-def precision_recall_points(df: DataFrame, label: str, score: str) -> DataFrame:
-    curve = score_curve(df, label, score)
-    p, n = _totals(curve)
-    tp = p - (F.col("cum_pos") - F.col("pos"))
-    fp = n - (F.col("cum_neg") - F.col("neg"))
-    return curve.select(F.col("score").alias("threshold"), F.try_divide(tp, tp + fp).alias("precision"),
-                        F.try_divide(tp, p).alias("recall"))
+def precision_recall_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    tp, fp, p, _ = _true_false_positives()
+    return score_curve(df, label, score, by).select(
+        *by, F.col("score").alias("threshold"), F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, p).alias("recall"))
 
 
-def roc_auc_gini(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Area under the ROC curve by trapezoids over score groups, and Gini; NULL with a single class."""
-    curve = score_curve(df, label, score)
+def curve_figures(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per group, from one curve: area under the ROC curve by trapezoids over score groups, Gini, and average precision.
+
+    Average precision sums, from the highest score, the gain in recall times precision. With a single class the area
+    and Gini are NULL.
+    """
+    tp, fp, p, n = _true_false_positives()
     below = F.col("cum_neg") - F.col("neg") + F.col("neg") / 2
-    sums = curve.agg(F.sum(F.col("pos") * below).alias("area"), F.sum("pos").cast("double").alias("p"),
-                     F.sum("neg").cast("double").alias("n"))
+    step = F.try_divide(F.col("pos").cast("double"), p) * F.try_divide(tp, tp + fp)
+    curve = score_curve(df, label, score, by)
+    sums = (curve.groupBy(*by) if by else curve).agg(
+        F.sum(F.col("pos") * below).alias("area"), F.max(p).alias("p"), F.max(n).alias("n"), F.sum(step).alias("average_precision"))
     auc = F.try_divide(F.col("area"), F.col("p") * F.col("n"))
-    return sums.select(auc.alias("auc"), (2 * auc - 1).alias("gini"))
+    return sums.select(*by, auc.alias("auc"), (2 * auc - 1).alias("gini"), "average_precision")
+
+
+def roc_auc_gini(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Area under the ROC curve and Gini; NULL with a single class."""
+    return curve_figures(df, label, score).select("auc", "gini")
 
 
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Sum over score groups, from the highest, of the gain in recall times precision."""
-    curve = score_curve(df, label, score)
-    p, n = _totals(curve)
-    tp = p - (F.col("cum_pos") - F.col("pos"))
-    fp = n - (F.col("cum_neg") - F.col("neg"))
-    step = F.try_divide(F.col("pos").cast("double"), p) * F.try_divide(tp, tp + fp)
-    return curve.agg(F.sum(step).alias("average_precision"))
+    return curve_figures(df, label, score).select("average_precision")
 
 
 def compare_scores(df: DataFrame, label: str, scores: Sequence[str]) -> DataFrame:
-    """AUC, Gini and average precision of several scores on the same rows: one curve each, both figures from it."""
-    out = None
-    for s in scores:
-        curve = score_curve(df, label, s)
-        p, n = _totals(curve)
-        tp, fp = p - (F.col("cum_pos") - F.col("pos")), n - (F.col("cum_neg") - F.col("neg"))
-        area = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2))
-        step = F.try_divide(F.col("pos").cast("double"), p) * F.try_divide(tp, tp + fp)
-        sums = curve.agg(area.alias("area"), F.sum("pos").cast("double").alias("p"), F.sum("neg").cast("double").alias("n"), F.sum(step).alias("average_precision"))
-        auc = F.try_divide(F.col("area"), F.col("p") * F.col("n"))
-        row = sums.select(F.lit(s).alias("score_name"), auc.alias("auc"), (2 * auc - 1).alias("gini"), "average_precision")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """AUC, Gini and average precision of several scores on the same rows, from one grouped curve."""
+    long = df.select(label, F.inline(F.array(*[F.struct(F.lit(s).alias("score_name"), F.col(s).cast("double").alias("value")) for s in scores])))
+    return curve_figures(long, label, "value", ["score_name"])
 
 
 def score_bins(df: DataFrame, score: str, edges: Sequence[float] = SCORE_EDGES, output: str = "Probability_Bins") -> DataFrame:
@@ -164,11 +159,33 @@ def null_columns(df: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each pair of features, in one pass; one row per unordered pair."""
-    pairs = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                      F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation"))
-             for a, b in combinations(features, 2)]
-    return df.agg(F.array(*pairs).alias("s")).select(F.inline("s"))
+    """Pearson correlation of each pair of features; one row per unordered pair.
+
+    Features without NULLs go through Spark ML's correlation of vectors, whose plan is the same for any number of
+    them: each task adds up its rows' products, and the driver gets one number a pair. Pairs with a feature that has
+    NULLs are taken over the rows that have both, an aggregate each. A constant feature has no correlation (NULL).
+    """
+    nulls = df.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in features], F.count("*").alias("__rows")).first().asDict()
+    whole = [f for f in features if not nulls[f]]
+    known: dict[tuple[str, str], float | None] = {}
+    if nulls["__rows"] > 1 and len(whole) > 1:
+        vectors = df.select(array_to_vector(F.array(*[F.col(f).cast("double") for f in whole])).alias("v"))
+        values = Correlation.corr(vectors, "v").first()[0].toArray()
+        place = {f: i for i, f in enumerate(whole)}
+        known = {(a, b): float(values[place[a], place[b]]) for a, b in combinations(whole, 2)}
+    schema = "feature_a string, feature_b string, correlation double"
+    found = df.sparkSession.createDataFrame([(a, b, None if math.isnan(v) else v) for (a, b), v in known.items()], schema)
+    rest = [(a, b) for a, b in combinations(features, 2) if (a, b) not in known]
+    if not rest:
+        return found
+
+    def pearson(a: str, b: str) -> Column:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    pairs = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), pearson(a, b).alias("correlation")) for a, b in rest]
+    return found.unionByName(df.agg(F.array(*pairs).alias("s")).select(F.inline("s")))
 
 
 def highly_correlated(df: DataFrame, features: Sequence[str], limit: float = HIGH_CORRELATION) -> DataFrame:
@@ -177,33 +194,77 @@ def highly_correlated(df: DataFrame, features: Sequence[str], limit: float = HIG
     return high.select(F.explode(F.array("feature_a", "feature_b")).alias("feature")).distinct()
 
 
-def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """One-way F statistic of each feature over the classes.
+def feature_statistics(df: DataFrame, features: Sequence[str], label: str, *by: str) -> DataFrame:
+    """(by, feature, class, n, mean, m2, lo, hi): per feature and class the count, mean, summed squared deviations and range.
 
-    From each class's count, mean and variance, which merge without the cancelling that sums of squares suffer
-    on large means.
+    One aggregate over the rows in long form, combined before the shuffle; its plan is the same for any number of
+    features. NULL values and rows without a label are left out. `merged_statistics` puts parts together.
     """
-    features = list(features)
-    aggs = []
-    for i, f in enumerate(features):
-        x = F.col(f).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
-    per_class = df.filter(F.col(label).isNotNull()).groupBy(label).agg(*aggs)
-    structs = [F.struct(F.lit(f).alias("feature"), *[F.col(f"{c}{i}").alias(c) for c in "nmv"]) for i, f in enumerate(features)]
-    long = per_class.select(F.inline(F.array(*structs))).filter("n > 0")
-    classes = long.groupBy("feature").agg(F.collect_list(F.struct("n", "m", "v")).alias("classes"))
+    values = F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features]))
+    long = df.filter(F.col(label).isNotNull()).select(*by, F.col(label).alias("class"), values).filter(F.col("x").isNotNull())
+    return long.groupBy(*by, "feature", "class").agg(
+        F.count("*").alias("n"), F.avg("x").alias("mean"), (F.var_pop("x") * F.count("*")).alias("m2"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+
+
+def merged_statistics(parts: DataFrame, *by: str) -> DataFrame:
+    """The statistics of all parts together, such as one for each month; `by` are columns to keep apart."""
+    one = F.collect_list(F.struct("n", "mean", "m2"))
+
+    def merge(a: Column, b: Column) -> Column:
+        n, gap = a["n"] + b["n"], b["mean"] - a["mean"]
+        m2 = a["m2"] + b["m2"] + gap * gap * a["n"] * b["n"] / n
+        return F.struct(n.alias("n"), (a["mean"] + gap * b["n"] / n).alias("mean"), m2.alias("m2"))
+
+    rows = parts.groupBy(*by, "feature", "class").agg(F.sort_array(one).alias("parts"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    total = F.aggregate(F.slice("parts", F.lit(2), F.size("parts")), F.get("parts", F.lit(0)), merge)
+    rows = rows.withColumn("all", total)
+    return rows.select(*by, "feature", "class", "all.n", "all.mean", "all.m2", "lo", "hi")
+
+
+def anova_from_statistics(stats: DataFrame) -> DataFrame:
+    """(feature, f_score, p_value): one-way F statistic over the classes and the chance of a larger one."""
+    classes = stats.groupBy("feature").agg(F.sort_array(F.collect_list(F.struct("n", "mean", "m2"))).alias("classes"))
 
     def total(of: Callable[[Column], Column]) -> Column:
         return F.aggregate("classes", F.lit(0.0), lambda a, c: a + of(c))
 
     n, k = total(lambda c: c["n"].cast("double")), F.size("classes")
     # Means are taken from the first class's, so that a large common part drops out before it is squared.
-    origin = F.element_at("classes", 1)["m"]
-    centre = total(lambda c: c["n"] * (c["m"] - origin)) / n
-    between = total(lambda c: c["n"] * F.pow(c["m"] - origin - F.col("centre"), F.lit(2.0)))
-    error = total(lambda c: c["n"] * c["v"])
-    f_value = F.try_divide(between / (k - 1), error / (n - k))
-    return classes.withColumn("centre", centre).select("feature", F.when(k > 1, f_value).alias("f_score"))
+    origin = F.element_at("classes", 1)["mean"]
+    centre = total(lambda c: c["n"] * (c["mean"] - origin)) / n
+    between = total(lambda c: c["n"] * F.pow(c["mean"] - origin - F.col("centre"), F.lit(2.0)))
+    error = total(lambda c: c["m2"])
+    f_value = F.when(k > 1, F.try_divide(between / (k - 1), error / (n - k)))
+    out = classes.withColumn("centre", centre).select("feature", f_value.alias("f_score"), (k - 1).alias("k1"), (n - k).alias("nk"))
+    return out.select("feature", "f_score", f_tail(F.col("f_score"), F.col("k1"), F.col("nk")).alias("p_value"))
+
+
+def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """One-way F statistic of each feature over the classes.
+
+    From each class's count, mean and squared deviations, which merge without the cancelling that sums of squares
+    suffer on large means.
+    """
+    return anova_from_statistics(feature_statistics(df, features, label)).select("feature", "f_score")
+
+
+def anova_p_values(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """F statistic and p-value (rounded to 10 digits) per feature."""
+    return anova_from_statistics(feature_statistics(df, features, label)).withColumn("p_value", F.round("p_value", 10))
+
+
+def top_features(stats: DataFrame, n: int = 20) -> DataFrame:
+    """The `n` features with the largest F statistic, largest first; ties by name."""
+    return anova_from_statistics(stats).orderBy(F.col("f_score").desc_nulls_last(), "feature").limit(n)
+
+
+def scaled_by_statistics(df: DataFrame, features: Sequence[str], stats: DataFrame) -> DataFrame:
+    """Features scaled to 0 to 1 by the ranges in their statistics; a constant one becomes 0."""
+    ranges = stats.groupBy("feature").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    of = ranges.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("lo", "hi"))))).scalar()
+    r = lambda f: F.element_at(F.col("__ranges"), F.lit(f))
+    scaled = {f: F.coalesce(F.try_divide(F.col(f).cast("double") - r(f)["lo"], r(f)["hi"] - r(f)["lo"]), F.when(F.col(f).isNotNull(), 0.0)) for f in features}
+    return df.withColumn("__ranges", of).withColumns(scaled).drop("__ranges")
 
 
 def feature_importance_rank(importances: DataFrame, drop: Sequence[str] = ("AccountNumber", "Gender", "degenerate_application_id")) -> DataFrame:

@@ -17,13 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from riskspark.operators.logistic import fit_logistic
 from riskspark.operators.metrics import confusion_counts, rates_from_counts
-from riskspark.operators.outcomes import hash_number
+from riskspark.operators.sampling import stratified_folds
 from riskspark.operators.scoring import LogitModel
 
 FEATURES = ("CoappFlag", "Ever30In6Months", "WorstDelinquency6M", "CurrentDelinquencyStatus")
 BAD_WEIGHT = 0.67
 METRICS = ("accuracy", "precision", "recall", "f1")
+#: Rows of one partition of a fit's data, at the least.
+ROWS_PER_PARTITION = 200_000
 
 
 def assemble(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -32,6 +35,22 @@ def assemble(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(typed)
 
 
+def assembled(df: DataFrame, features: Sequence[str], label: str, *more: str) -> DataFrame:
+    """The persisted feature vectors and labels of a fit, to be unpersisted by the caller.
+
+    They lie in as many partitions as their size needs: a tree's fit runs a job for every level, and its tasks for
+    small frames cost more than their work.
+    """
+    data = assemble(df, features, label).select("features", "label", *more).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = -(-data.count() // ROWS_PER_PARTITION)
+    if parts >= data.rdd.getNumPartitions():
+        return data
+    packed = data.coalesce(max(int(parts), 1)).persist(StorageLevel.MEMORY_AND_DISK)
+    packed.count()
+    data.unpersist()
+    return packed
+
+
 # Fixed value: the most iterations of a logistic fit; the tolerance ends it long before.
 LOGISTIC = {"maxIter": 10_000_000, "tol": 1e-9}
 
@@ -41,6 +60,7 @@ def penalty(c: float, weight_sum: float) -> float:
     return 1.0 / (c * weight_sum)
 
 
+# The parameters of the candidates, of those that rank features, and of the logistic grids.
 def default_estimators(n_rows: int, seed: int = 42) -> dict[str, Estimator]:
     """The four candidates with the parameters in use."""
     return {
@@ -73,7 +93,7 @@ class FittedModels:
     cross_validation: list[tuple[str, int, float]]
 
 
-def _parallel(spark: SparkSession, jobs: Iterable[Callable[[], Any]], parallelism: int) -> list[Any]:
+def parallel(spark: SparkSession, jobs: Iterable[Callable[[], Any]], parallelism: int) -> list[Any]:
     """Submit several Spark jobs at once, as CrossValidator does; the work itself stays on the executors."""
     pool = ThreadPool(parallelism)
     try:
@@ -85,19 +105,19 @@ def _parallel(spark: SparkSession, jobs: Iterable[Callable[[], Any]], parallelis
 def fit_models(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "Ever90_12M",
                estimators: Mapping[str, Estimator] | None = None, folds: int = 5, parallelism: int = 4,
                key: Sequence[str] = ("AccountNumber", "SnapshotDate")) -> FittedModels:
-    """Fit each candidate, with its accuracy on `folds` held-out parts (model, fold, accuracy)."""
-    data = assemble(train, features, label).withColumn("fold", F.pmod(hash_number(*[F.col(k) for k in key]), F.lit(max(folds, 1))))
-    data = data.select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit each candidate, with its accuracy on `folds` held-out stratified parts (model, fold, accuracy)."""
+    dealt = stratified_folds(train, label, folds, key) if folds > 1 else train.withColumn("fold", F.lit(0))
+    data = assembled(dealt, features, label, "fold")
     try:
         estimators = dict(estimators or default_estimators(data.count()))
-        fitted = _parallel(train.sparkSession, [lambda e=e: e.fit(data) for e in estimators.values()], parallelism)
+        fitted = parallel(train.sparkSession, [lambda e=e: e.fit(data) for e in estimators.values()], parallelism)
 
         def accuracy(name: str, fold: int) -> tuple[str, int, float]:
             model = estimators[name].fit(data.filter(F.col("fold") != fold))
             hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
             return name, fold + 1, model.transform(data.filter(F.col("fold") == fold)).agg(hit).first()[0]
 
-        cv = _parallel(train.sparkSession, [lambda n=n, k=k: accuracy(n, k) for n in estimators for k in range(folds)], parallelism) if folds > 1 else []
+        cv = parallel(train.sparkSession, [lambda n=n, k=k: accuracy(n, k) for n in estimators for k in range(folds)], parallelism) if folds > 1 else []
         return FittedModels(dict(zip(estimators, fitted, strict=True)), cv)
     finally:
         data.unpersist()
@@ -123,30 +143,7 @@ def model_importances(models: Mapping[str, Model], features: Sequence[str], spar
 def calibrate(df: DataFrame, score: str = "Probability_model", label: str = "Ever90_12M", bad_weight: float = BAD_WEIGHT,
               c: float = 1.0) -> LogitModel:
     """Weighted logistic regression on the raw probability; bad rows weigh less as they were repeated."""
-    weighted = df.withColumn("__w", F.when(F.col(label) == 1, bad_weight).otherwise(1.0))
-    data = assemble(weighted, [score], label).select("features", "label", "__w").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        total = data.agg(F.sum("__w")).first()[0]
-        model = LogisticRegression(weightCol="__w", regParam=penalty(c, total), elasticNetParam=0.0, standardization=False, **LOGISTIC).fit(data)
-    finally:
-        data.unpersist()
-    return LogitModel((score,), (float(model.coefficients[0]),), float(model.intercept))
-
-
-def coefficients_table(name: str, model: LogitModel, spark: SparkSession) -> DataFrame:
-    """A model as rows, so that scoring reads what training wrote instead of hand-copied numbers."""
-    rows = [(name, "intercept", model.intercept), (name, "calibration_coefficient", model.calibration_coefficient),
-            (name, "calibration_intercept", model.calibration_intercept)]
-    rows += [(name, f"feature:{f}", w) for f, w in zip(model.features, model.coefficients, strict=True)]
-    return spark.createDataFrame(rows, "model string, term string, value double")
-
-
-def model_from_table(table: DataFrame, name: str) -> LogitModel:
-    """Read a model back; the table has one row per coefficient."""
-    terms = {r.term: r.value for r in table.filter(F.col("model") == name).orderBy("term").collect()}
-    features = [t for t in terms if t.startswith("feature:")]
-    return LogitModel(tuple(t.removeprefix("feature:") for t in features), tuple(terms[t] for t in features),
-                      terms["intercept"], terms["calibration_coefficient"], terms["calibration_intercept"])
+    return fit_logistic(df, [score], label, F.when(F.col(label) == 1, bad_weight).otherwise(1.0), c)
 
 
 def combinations_of(grid: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
@@ -182,18 +179,17 @@ def grid_search(estimator: Estimator, combos: Sequence[Mapping[str, Any]], train
     chunk rather than twice per model. The result has one row per combination.
     """
     spark = train.sparkSession
-    sets = {n: assemble(d, features, label).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
-            for n, d in (("train", train), ("test", test))}
+    sets = {n: assembled(d, features, label) for n, d in (("train", train), ("test", test))}
     rows: list[tuple] = []
     try:
         for start in range(0, len(combos), chunk):
             part = list(combos[start:start + chunk])
-            models = _parallel(spark, [lambda p=p: estimator.copy({estimator.getParam(k): v for k, v in p.items()}).fit(sets["train"])
+            models = parallel(spark, [lambda p=p: estimator.copy({estimator.getParam(k): v for k, v in p.items()}).fit(sets["train"])
                                 for p in part], parallelism)
             counted = {n: _count_all(d, models) for n, d in sets.items()}
             for i, p in enumerate(part):
                 for n, c in counted.items():
-                    rows.append((start + i, _params_text(p), n, *[c[f"{k}_{i}"] for k in ("tp", "fp", "fn", "tn")]))
+                    rows.append((start + i, params_text(p), n, *[c[f"{k}_{i}"] for k in ("tp", "fp", "fn", "tn")]))
     finally:
         for d in sets.values():
             d.unpersist()
@@ -201,7 +197,7 @@ def grid_search(estimator: Estimator, combos: Sequence[Mapping[str, Any]], train
     return metric_distance(rates_from_counts(counts))
 
 
-def _params_text(params: Mapping[str, Any]) -> str:
+def params_text(params: Mapping[str, Any]) -> str:
     return ", ".join(f"{k}={v}" for k, v in sorted(params.items()))
 
 
@@ -237,17 +233,3 @@ def rank_grid(results: DataFrame, by_precision: int = 3000, keep: int = 1000) ->
 
     objective = ((1 - scaled("metric_distance")) * 0.5 + scaled("test_f1") + scaled("train_accuracy") * 0.5) / 3
     return top.withColumn("objective", objective).orderBy(F.col("objective").desc(), F.col("combination").desc()).limit(keep)
-
-
-def anova_p_values(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """F statistic and p-value (rounded to 10 digits) per feature from Spark ML's ANOVA test.
-
-    The test has no Python wrapper, so the JVM object is called.
-    """
-    spark = df.sparkSession
-    data = assemble(df, features, label).select("features", "label")
-    test = spark._jvm.org.apache.spark.ml.stat.ANOVATest.test(data._jdf, "features", "label", True)
-    out = DataFrame(test, spark)
-    names = F.array(*[F.lit(f) for f in features])
-    return out.select(F.element_at(names, F.col("featureIndex").cast("int") + 1).alias("feature"),
-                      F.col("fValue").alias("f_score"), F.round("pValue", 10).alias("p_value"))

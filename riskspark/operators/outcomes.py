@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.dates import DateLike, as_date
 from riskspark.functions.scalars import rolling_mean
-from riskspark.operators.keyed import running_totals
+from riskspark.session import materialise
 
 
 def cure_cohort(monthly: DataFrame, start: DateLike, end: DateLike, code: int = 4) -> DataFrame:
@@ -119,12 +119,28 @@ def sample_account_month(panel: DataFrame, seed: int = 42, open_only: bool = Tru
     return healthy.drop("Ever90").join(chosen, ["AccountNumber", "MOB"]).distinct()
 
 
+#: Ranges of the hash by which a smallest-k threshold is found: the top 16 of its 32 bits.
+HASH_RANGES = 16
+
+
 def sample_accounts(panel: DataFrame, share: float = 0.05, seed: int = 42) -> DataFrame:
-    """All rows of a random share of the accounts: exactly the whole part of share x accounts."""
-    accounts = panel.select("AccountNumber").distinct().withColumn(
-        "__h", hash_number(F.col("AccountNumber"), F.lit(seed)))
-    # Rank by hash in buckets rather than sorting every account in one task.
-    ranked = running_totals(accounts.withColumn("one", F.lit(1)), "__h", ["__h", "AccountNumber"], ["one"])
+    """All rows of a random share of the accounts: exactly the whole part of share x accounts.
+
+    Those with the smallest hashes (ties: the smaller account). A histogram of the hashes finds the range that holds
+    the last of them; only that range is ranked. The panel is read for its accounts and for the result.
+    """
+    accounts = panel.filter(F.col("AccountNumber").isNotNull()).select("AccountNumber").distinct()
+    accounts = accounts.withColumn("__h", hash_number(F.col("AccountNumber"), F.lit(seed)))
+    accounts = materialise(accounts.withColumn("__range", F.shiftright("__h", 32 - HASH_RANGES)), "hashed-accounts")
+    histogram = accounts.groupBy("__range").agg(F.count("*").alias("n"))
+    every = Window.partitionBy(F.lit(0))
+    up_to = F.sum("n").over(every.orderBy("__range"))
     # Same order of operations as int(count * share).
-    size = F.floor(accounts.agg(F.count("*")).scalar() * F.lit(share))
-    return panel.join(ranked.filter(F.col("cum_one") <= size).select("AccountNumber"), "AccountNumber", "left_semi")
+    sized = histogram.select("__range", (up_to - F.col("n")).alias("before"), up_to.alias("upto"), F.floor(F.sum("n").over(every) * F.lit(share)).alias("size"))
+    edge = sized.filter((F.col("size") > F.col("before")) & (F.col("size") <= F.col("upto")))
+    cut = materialise(edge.select("__range", (F.col("size") - F.col("before")).alias("__take")), "hash-cut")
+    at = cut.select("__range").scalar()
+    first = Window.partitionBy("__range").orderBy("__h", "AccountNumber")
+    last = accounts.join(cut, "__range").withColumn("__rank", F.row_number().over(first)).filter("__rank <= __take")
+    chosen = accounts.filter(F.col("__range") < at).select("AccountNumber").unionByName(last.select("AccountNumber"))
+    return panel.join(chosen, "AccountNumber", "left_semi")

@@ -20,13 +20,12 @@ def split_by_positive_share(df: DataFrame, label: str = "Ever90_12M", shares: Se
     """Cut the ordered rows where the positives reach each share; the row reaching it opens the next part.
 
     Only the positives are accumulated, one row per distinct `order`, and every row is then compared
-    with the cut keys. Rows with equal `order` stay together. `order` starts with a number.
+    with the cut keys. Rows with equal `order` stay together.
     """
     per_key = df.filter(F.col(label) == 1).groupBy(*order).agg(F.count("*").alias("n"))
-    cums = running_totals(per_key, order[0], list(order), ["n"])
-    total = per_key.agg(F.sum("n")).scalar()
+    cums = running_totals(per_key, list(order), ["n"])
     # Half-even, so that the row reaching the rounded count is the one the share names.
-    targets = [F.rint(total * F.lit(s)) for s in shares]
+    targets = [F.rint(F.col("total_n") * F.lit(s)) for s in shares]
     key = F.struct(*order)
     reached = [F.min(F.when((F.col("cum_n") >= t) & (t > 0), key)).alias(f"cut{i}") for i, t in enumerate(targets)]
     cuts = cums.agg(*reached).select(F.struct("*")).scalar()
@@ -74,7 +73,7 @@ def upsample_minority(df: DataFrame, label: str = "Ever90_12M", key: Sequence[st
     wanted, have = sum(c for k, c in counts.items() if k != rare), counts[rare]
     minority = df.filter(F.col(label) == rare).withColumn("__h", hash_number(*[F.col(c) for c in key], F.lit(seed)))
     ids = minority.groupBy("__h", *key).agg(F.count("*").alias("__n"))
-    ids = running_totals(ids, "__h", ["__h", *key], ["__n"])
+    ids = running_totals(ids, ["__h", *key], ["__n"]).drop("total___n")
     draws = df.sparkSession.range(wanted).select((F.pmod(hash_number(F.col("id"), F.lit(seed)), F.lit(have)) + 1).alias("__rank"))
     draws = draws.groupBy("__rank").agg(F.count("*").alias("__copies"))
     # A key standing for several equal rows takes the ranks (cum - n, cum].
@@ -90,6 +89,19 @@ def split_sizes(df: DataFrame, label: str = "Ever90_12M") -> DataFrame:
 
 
 def group_index(df: DataFrame, by: str, order: Sequence[str] = ORDER) -> DataFrame:
-    """Zero-based position of a row within its group; give groups of bounded size."""
-    spec = Window.partitionBy(by).orderBy(*order)
-    return df.withColumn("index", F.row_number().over(spec) - 1)
+    """Zero-based position of a row within its group, by `order`; rows of equal order take any of their places.
+
+    Positions come from counts of ranges, so a group that holds half of all rows is many tasks.
+    """
+    ranked = running_totals(df.withColumn("__one", F.lit(1)), list(order), ["__one"], [by])
+    return ranked.withColumn("index", (F.col("cum___one") - 1).cast("int")).drop("__one", "cum___one", "total___one")
+
+
+def stratified_folds(df: DataFrame, label: str, folds: int = 5, key: Sequence[str] = ("AccountNumber", "SnapshotDate"), seed: int = 42) -> DataFrame:
+    """Adds `fold`, 0 to folds - 1: each class is dealt round in a random order, so its folds differ by one row at most.
+
+    The order is a hash of the key and the seed. Rows without a label are dealt as a class of their own.
+    """
+    drawn = df.withColumn("__h", hash_number(*[F.col(k) for k in key], F.lit(seed))).withColumn("__one", F.lit(1))
+    ranked = running_totals(drawn, ["__h", *key], ["__one"], [label])
+    return ranked.withColumn("fold", ((F.col("cum___one") - 1) % folds).cast("int")).drop("__h", "__one", "cum___one", "total___one")

@@ -100,11 +100,9 @@ def sicr_flag(df: DataFrame) -> DataFrame:
 
 def lifetime_adjust(df: DataFrame, output: str = "LifetimeScore") -> DataFrame:
     """Twelve-month to lifetime probability for accounts with increased risk, capped at 1."""
-    score, up = F.col("AdjustedBehaviourScore"), F.col("SICR") == 1
-    lifted = (F.when(up & (score < LOW_RISK_BELOW), score * LOW_RISK_FACTOR)
-               .when(up & (score >= LOW_RISK_BELOW), score * HIGH_RISK_FACTOR)
-               .otherwise(score))
-    return df.withColumn(output, cap(lifted, 1.0))
+    score = F.col("AdjustedBehaviourScore")
+    factor = F.when(F.col("SICR") == 0, 1.0).when(score < LOW_RISK_BELOW, LOW_RISK_FACTOR).otherwise(HIGH_RISK_FACTOR)
+    return df.withColumn(output, cap(score * factor, 1.0))
 
 
 def assign_stage(df: DataFrame, score: str = "LifetimeScore", labels: bool = False) -> DataFrame:

@@ -77,7 +77,7 @@ def test_histogram_covers_all_rows(spark):
 def test_anova_matches_spark_ml(spark):
     df = spark.range(300).selectExpr("cast(id % 3 = 0 as int) as y", "cast(id % 7 as double) as a", "cast(id % 3 as double) + id % 5 as b")
     ours = dict(rows(m.anova_f(df, ["a", "b"], "y"), "feature", "f_score"))
-    theirs = {r.feature: r for r in ml.anova_p_values(df, ["a", "b"], "y").collect()}
+    theirs = {r.feature: r for r in m.anova_p_values(df, ["a", "b"], "y").collect()}
     assert {k: pytest.approx(v.f_score) for k, v in theirs.items()} == ours
     assert theirs["b"].p_value < 0.01 < theirs["a"].p_value
 
@@ -137,11 +137,6 @@ def test_calibration_is_the_penalised_optimum(spark):
     assert abs(gw) < 0.05 and abs(gb) < 0.05
 
 
-def test_coefficients_round_trip(spark):
-    model = LogitModel(("a", "b"), (1.5, -2.0), 0.25, 3.0, -1.0)
-    assert ml.model_from_table(ml.coefficients_table("x", model, spark), "x") == model
-
-
 def test_grids():
     sizes = {k: len(v) for k, v in ml.logistic_grid(100).items()}
     assert sizes == {"l1": 16, "l2": 16, "elasticnet": 240, "none": 2}
@@ -192,15 +187,15 @@ def test_queries_fit_the_models_in_use(spark, monkeypatch):
         seen.append(({k: {p.name: v for p, v in e.extractParamMap().items()} for k, e in estimators.items()}, folds))
         raise Stop
 
-    def search(estimator, combos, train, test):
-        seen.append((type(estimator).__name__, combos))
+    def search(grid, train, test):
+        seen.append(grid)
         raise Stop
 
     df = tape(spark, 100)
     monkeypatch.setattr(models, "_parts", lambda t: (df, df))
     monkeypatch.setattr(models, "materialise", lambda df, name: df)
     monkeypatch.setattr(ml, "fit_models", fit)
-    monkeypatch.setattr(ml, "grid_search", search)
+    monkeypatch.setattr(models, "forest_grid_search", search)
     for run in (models.fit_models, models.model_feature_importance, models.fitted_probability, models.grid_search):
         with pytest.raises(Stop):
             run(None)
@@ -211,4 +206,4 @@ def test_queries_fit_the_models_in_use(spark, monkeypatch):
     used = params(ml.default_estimators(df.count()))
     assert seen[0] == (used, 5) and seen[1] == (params(ml.importance_estimators(df.count())), 0)
     assert seen[2] == ({"lr": used["LogisticRegression"]}, 0)
-    assert seen[3] == ("RandomForestClassifier", ml.combinations_of(ml.FOREST_GRID))
+    assert seen[3] == ml.FOREST_GRID

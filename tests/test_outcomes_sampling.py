@@ -67,17 +67,67 @@ def test_sample_accounts_exact_size(spark):
 
 def test_running_totals_equal_plain_window(spark):
     df = spark.range(5000).selectExpr("id * 7919 % 5000 as k", "id % 3 as v", "1L as one")
-    got = running_totals(df, "k", ["k"], ["v", "one"], buckets=16).orderBy("k").collect()
+    got = running_totals(df, ["k"], ["v", "one"]).orderBy("k").collect()
     total = 0
     for i, r in enumerate(got):
         total += r.v
-        assert (r.cum_v, r.cum_one) == (total, i + 1)
+        assert (r.cum_v, r.cum_one, r.total_one) == (total, i + 1, 5000)
+
+
+def test_running_totals_within_groups(spark):
+    """A group with half of all rows is several ranges; a NULL group is one; ties take places of their own."""
+    df = spark.range(4000).selectExpr("case when id % 2 = 0 then 0 when id % 3 = 0 then null else id % 5 + 1 end as g", "id % 700 as k", "cast(id as int) as v", "1 as one")
+    ranked = running_totals(df, ["k"], ["v", "one"], ["g"])
+    assert ranked.count() == 4000
+    for g, own in [(g, [r for r in ranked.collect() if r.g == g]) for g in (None, 0, 1, 5)]:
+        own.sort(key=lambda r: r.cum_one)
+        assert [r.cum_one for r in own] == list(range(1, len(own) + 1)) and [r.k for r in own] == sorted(r.k for r in own)
+        assert own[-1].cum_v == own[0].total_v == sum(r.v for r in own) and {r.total_one for r in own} == {len(own)}, g
+
+
+def test_a_hot_key_is_many_ranges(spark, monkeypatch):
+    """One account, or one month, with half of all rows: no range holds it all, and the source is computed once."""
+    from riskspark.operators import keyed
+    written, write = {}, keyed.materialise
+    monkeypatch.setattr(keyed, "materialise", lambda df, name: written.setdefault(name, write(df, name)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(8000).selectExpr("case when id < 4000 then 7 else id end as AccountNumber", "cast(id as int) as MOB", "1 as one")
+        got = running_totals(df, ["AccountNumber", "MOB"], ["one"])
+        assert sorted(r.cum_one for r in got.collect()) == list(range(1, 8001))
+        per_range = written["ranges"].filter("AccountNumber = 7").groupBy("__range").count().collect()
+        assert len(per_range) > 1 and max(r["count"] for r in per_range) < 4000
+        written.clear()
+        by_month = s.group_index(df.withColumn("SnapshotDate", F.lit("2020-01-31")).withColumn("Month", F.when(F.col("MOB") < 4000, 202001).otherwise(202002)), "Month")
+        assert sorted(r["index"] for r in by_month.filter("Month = 202001").collect()) == list(range(4000))
+        assert written["ranges"].filter("Month = 202001").select("__range").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_running_totals_one_key_and_empty(spark):
     one = spark.createDataFrame([(1.0, 5)], "k double, v long")
-    assert rows(running_totals(one, "k", ["k"], ["v"]), "cum_v") == [(5,)]
-    assert running_totals(one.filter("k > 1"), "k", ["k"], ["v"]).count() == 0
+    assert rows(running_totals(one, ["k"], ["v"]), "cum_v", "total_v") == [(5, 5)]
+    assert running_totals(one.filter("k > 1"), ["k"], ["v"]).count() == 0
+
+
+def test_folds_of_a_class_differ_by_one_row_at_most(spark):
+    df = spark.range(1003).selectExpr("id % 90 as AccountNumber", "date_add(date'2020-01-01', cast(id % 11 as int)) as SnapshotDate", "case when id % 9 = 0 then 1 when id % 100 = 5 then null else 0 end as y")
+    folds = s.stratified_folds(df, "y", 5)
+    sizes = {}
+    for r in folds.groupBy("y", "fold").count().collect():
+        sizes.setdefault(r.y, []).append(r["count"])
+    assert folds.count() == 1003 and all(len(v) == 5 and max(v) - min(v) <= 1 for v in sizes.values()) and len(sizes) == 3
+
+
+def test_sampled_accounts_are_those_with_the_smallest_hashes(spark):
+    df = spark.range(3000).selectExpr("id % 1000 as AccountNumber", "id as x").unionByName(spark.createDataFrame([(None, 1)], "AccountNumber long, x long"))
+    first = df.select("AccountNumber").filter("AccountNumber is not null").distinct().withColumn("h", o.hash_number(F.col("AccountNumber"), F.lit(42))).orderBy("h", "AccountNumber")
+    for share in (0.0, 0.001, 0.37, 1.0):
+        want = {r.AccountNumber for r in first.limit(int(1000 * share)).collect()}
+        got = o.sample_accounts(df, share)
+        assert {r.AccountNumber for r in got.collect()} == want and got.count() == 3 * len(want)
+    assert o.sample_accounts(df.limit(0), 0.5).count() == 0
 
 
 def split_rows(spark, labels):
