@@ -5,8 +5,9 @@ of WIDTH bytes slide byte by byte over the learned vectors of the bytes; a filte
 (max pooling, after rectifying). Over the chunks of a document each feature's largest and mean value make one
 probability through a logistic unit.
 
-Training is stochastic gradient descent on a bounded sample: at most ROWS_PER_LABEL rows of each label, those
-with the smallest hash of the id, and every chunk of their texts. The intercept is then moved to the odds of all labelled rows. Labels are used as given; rows with another label than 0 or 1 are
+Training is stochastic gradient descent on a bounded sample: at most ROWS_PER_LABEL rows and BYTES_PER_LABEL bytes
+of each label, those with the smallest hash of the id, and every chunk of their texts; texts of more than an eighth
+of these bytes are not trained on. The intercept is then moved to the odds of all labelled rows. Labels are used as given; rows with another label than 0 or 1 are
 left out. With one label only, or no row, the score of every text is the share of label 1 (0.5 without rows).
 
 Scoring covers every chunk of every text; NULL counts as empty, and an empty text has one chunk of padding.
@@ -24,13 +25,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.text import bounded_sample, pieces, raw, utf8
+from riskspark.session import materialise
 
 CHUNK, OVERLAP, WIDTH, FILTERS, DIMS = 512, 64, 8, 16, 8
 PAD = 256
 #: The bound of the training sample.
-ROWS_PER_LABEL = 1200
+ROWS_PER_LABEL, BYTES_PER_LABEL = 1200, 16 << 20
 EPOCHS, BATCH, RATE = 10, 32, 4e-3
 CHUNKS_AT_ONCE, TRAINED_AT_ONCE = 512, 128
+#: Bytes scored at once, and chunks of a longer text that one step of scoring cuts out.
+BYTES_AT_ONCE, CHUNKS_CUT = 2 << 20, 4096
 POSITIONS = np.arange(0, CHUNK - WIDTH + 1)
 
 
@@ -117,8 +121,21 @@ def _step(net: Net, chunks: np.ndarray, n: np.ndarray, y: np.ndarray) -> list[np
     return [byte, filters, to_h.sum(axis=0), doc.T @ gap, gap.sum()]
 
 
+def long_features(tables: np.ndarray, bias: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The features of one text, cut into chunks step by step: largest and mean over all of them."""
+    step = CHUNK - OVERLAP
+    n = max(1, -(-(len(text) - OVERLAP) // step))
+    largest, total = np.zeros(FILTERS, np.float32), np.zeros(FILTERS)
+    for a in range(0, n, CHUNKS_CUT):
+        b = min(a + CHUNKS_CUT, n)
+        part = text[a * step : (b - 1) * step + CHUNK]
+        own = chunk_features(tables, bias, chunked(part, np.array([0, len(part)]))[0])
+        largest, total = np.maximum(largest, own.max(axis=0)), total + own.sum(axis=0, dtype=np.float64)
+    return np.concatenate([largest, (total / n).astype(np.float32)])[None]
+
+
 def fit(texts: list[np.ndarray], labels: np.ndarray, share: float, seed: int = 5) -> Net:
-    """Train on the chunks of each text; `share` of all labelled rows have label 1."""
+    """Train on the chunks of each text, given as bytes; `share` of all labelled rows have label 1."""
     rng = np.random.default_rng(seed)
     net = Net(rng.normal(0, 0.5, (PAD + 1, DIMS)), rng.normal(0, 0.18, (WIDTH * DIMS, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.2, 2 * FILTERS), 0.0)
     net.byte[PAD] = 0
@@ -132,7 +149,9 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, share: float, seed: int = 5
         rate = RATE * (1 - epoch / EPOCHS)
         for own in np.array_split(rng.permutation(len(labels)), max(1, len(labels) // BATCH)):
             t += 1
-            grads = _step(net, np.concatenate([texts[i] for i in own]), np.array([len(texts[i]) for i in own]), labels[own])
+            # Chunks, many times the size of the bytes, are cut for one batch at a time.
+            chunks, n = chunked(np.concatenate([texts[i] for i in own]), np.cumsum([0, *[len(texts[i]) for i in own]]))
+            grads = _step(net, chunks, n, labels[own])
             moves = []
             for i, g in enumerate(grads):
                 moments[0][i] = 0.9 * moments[0][i] + 0.1 * g
@@ -148,18 +167,20 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, share: float, seed: int = 5
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_label: int = ROWS_PER_LABEL) -> Net:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_label: int = ROWS_PER_LABEL,
+          bytes_per_label: int = BYTES_PER_LABEL) -> Net:
     """Train on the documents that `labels` (rows of id and label) has; the driver gets a bounded sample."""
     rows = labels.select("id", F.col("label").cast("int").alias("group")).filter("group in (0, 1)")
-    rows = rows.join(docs.select(F.col(id_col).alias("id")).distinct(), "id")
+    sizes = docs.select(F.col(id_col).alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("bytes"))
+    rows = rows.join(sizes.groupBy("id").agg(F.max("bytes").alias("bytes")), "id")
+    rows = materialise(rows, "labelled")
     counts = {r["group"]: r["count"] for r in rows.groupBy("group").count().collect()}
     total = sum(counts.values())
 
-    chosen = bounded_sample(docs, rows, rows_per_label, id_col, text_col)
+    chosen = bounded_sample(docs, rows, rows_per_label, id_col, text_col, bytes_per_label)
     got = chosen.select("group", "id", "text").orderBy("group", "id").toArrow()
-    chunks, n = chunked(*raw(utf8(got.column("text")))) if got.num_rows else (np.empty((0, CHUNK), np.int16), np.empty(0, np.int64))
-    bags = np.split(chunks, np.cumsum(n)[:-1])
-    return fit(bags, got.column("group").to_numpy().astype(float), counts.get(1, 0) / total if total else 0.5)
+    flat, starts = raw(utf8(got.column("text"))) if got.num_rows else (np.empty(0, np.uint8), np.zeros(1, np.int64))
+    return fit(np.split(flat, starts[1:-1]) if got.num_rows else [], got.column("group").to_numpy().astype(float), counts.get(1, 0) / total if total else 0.5)
 
 
 def score(text: Column, net: Net) -> Column:
@@ -170,8 +191,13 @@ def score(text: Column, net: Net) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             out = [np.empty(0)]
-            for part in pieces(utf8(batch), 2 << 20):
-                chunks, n = chunked(*raw(part))
-                out.append(sigmoid(document_features(chunk_features(tables, bias, chunks), n).astype(np.float64) @ last + intercept))
+            for part in pieces(utf8(batch), BYTES_AT_ONCE):
+                flat, starts = raw(part)
+                if len(flat) > BYTES_AT_ONCE:  # one long text
+                    features = long_features(tables, bias, flat)
+                else:
+                    chunks, n = chunked(flat, starts)
+                    features = document_features(chunk_features(tables, bias, chunks), n)
+                out.append(sigmoid(features.astype(np.float64) @ last + intercept))
             yield pa.array(np.concatenate(out))
     return run(text)

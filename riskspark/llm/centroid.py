@@ -47,21 +47,22 @@ def gram_counts(texts: pa.Array) -> np.ndarray:
     """Texts by hashed features, how often each occurs in the whole text."""
     flat, starts = raw(pc.utf8_lower(texts))
     out = np.zeros(len(texts) * FEATURES, np.float32)
-    flat = flat.astype(np.uint32)
-    text = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(starts))
     for a in range(0, len(flat), POSITIONS_AT_ONCE):
+        # Working arrays are those of one window; the last grams of a window look two bytes further.
+        stop = min(a + POSITIONS_AT_ONCE + 2, len(flat))
+        part = flat[a:stop].astype(np.uint32)
+        text = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(np.clip(starts, a, stop)))
         for n in (2, 3):
-            end = min(a + POSITIONS_AT_ONCE, len(flat) - n + 1)
-            if end <= a:
+            end = min(POSITIONS_AT_ONCE, len(part) - n + 1)
+            if end <= 0:
                 continue
-            code = np.full(end - a, n, np.uint32)
+            code = np.full(end, n, np.uint32)
             for k in range(n):
-                code = code * np.uint32(257) + flat[a + k : end + k]
+                code = code * np.uint32(257) + part[k : end + k]
             slot = (code * np.uint32(2654435761)) >> np.uint32(20)
-            whole = text[a:end] == text[a + n - 1 : end + n - 1]
-            at = (text[a:end] * FEATURES + slot)[whole]
-            low = text[a] * FEATURES
-            own = np.bincount(at - low)
+            whole = text[:end] == text[n - 1 : end + n - 1]
+            low = text[0] * FEATURES
+            own = np.bincount((text[:end] * FEATURES + slot)[whole] - low)
             out[low : low + len(own)] += own
     return out.reshape(len(texts), FEATURES)
 

@@ -25,20 +25,29 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))
 
 
-def bounded_sample(docs: DataFrame, groups: DataFrame, per_group: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bounded_sample(docs: DataFrame, groups: DataFrame, per_group: int, id_col: str = "doc_id", text_col: str = "text", most_bytes: int | None = None) -> DataFrame:
     """(group, id, text) of at most `per_group` ids of each group, those with the smallest hash.
 
+    With `most_bytes` the groups' rows have `bytes`, the size of their text: a group's texts in the sample have that
+    many bytes at most, texts of more than an eighth of it are left out of the sample, and none is cut.
+
     `groups` has rows of `id` and `group`. Ids are drawn first: a threshold on the hash, from the group's size,
     leaves about twice the ids wanted, of which each group's first are taken. Only their texts are then looked up,
     by a join whose one side has at most groups x per_group rows; the texts are not exchanged. Of a repeated id
     the least text counts.
     """
-    rows = groups.filter("id is not null and group is not null").select("id", "group").distinct()
+    rows = groups.filter("id is not null and group is not null")
+    if most_bytes is None:
+        rows = rows.select("id", "group").distinct()
+    else:
+        rows = rows.groupBy("id", "group").agg(F.max("bytes").alias("bytes")).filter(F.col("bytes") * 8 <= most_bytes)
     sizes = materialise(rows.groupBy("group").agg(F.count("*").alias("c")), "sample-sizes")
     draw = F.shiftrightunsigned(F.xxhash64("id", F.lit(9)), 11) / F.lit(float(1 << 53))
     likely = rows.withColumn("h", draw).join(sizes, "group").filter(F.col("h") * F.col("c") < 2 * per_group + 100)
     first = Window.partitionBy("group").orderBy("h", "id")
     chosen = likely.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_group)
+    if most_bytes is not None:
+        chosen = chosen.withColumn("b", F.sum("bytes").over(first.rowsBetween(Window.unboundedPreceding, 0))).filter(F.col("b") <= most_bytes)
     chosen = materialise(chosen.select("id", "group"), "sample-ids")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
     return texts.groupBy("group", "id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))

@@ -1,6 +1,7 @@
 """Mixing, personal data, near-duplicates, classifiers and the pipeline against plain versions."""
 
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -378,8 +379,39 @@ def test_training_sees_every_chunk_of_a_sampled_text(spark, monkeypatch):
     bags = []
     monkeypatch.setattr(bytecnn, "fit", lambda texts, labels, share: bags.extend(texts))
     bytecnn.train(docs, docs.select(F.col("doc_id").alias("id"), (F.col("doc_id") % 2).alias("label")))
-    seen = {int(b[0, 0]) - 97: len(b) for b in bags}
-    assert seen == {i: max(1, -(-(size - 64) // 448)) for i, size in enumerate((20000, 9001, 10, 448 * 8 + 65))}
+    assert {int(b[0]) - 97: len(b) for b in bags} == dict(enumerate((20000, 9001, 10, 448 * 8 + 65)))
+
+
+def test_training_texts_are_bounded_in_bytes_and_never_cut(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, chr(97 + i % 26) * size) for i, size in enumerate([3000] * 30 + [90000, 200000, 0])], "doc_id long, text string")
+    bags = []
+    monkeypatch.setattr(bytecnn, "fit", lambda texts, labels, share: bags.extend(texts))
+    bytecnn.train(docs, docs.select(F.col("doc_id").alias("id"), F.lit(1).alias("label")), bytes_per_label=30000)
+    assert 25000 < sum(map(len, bags)) <= 30000 and set(map(len, bags)) <= {0, 3000}
+
+
+def test_a_long_text_in_steps_has_the_features_of_the_whole():
+    net = bytecnn.fit([], np.empty(0), 0.5)
+    for size in (0, 1, 600, 448 * 5000 + 700):
+        text = np.random.default_rng(size).integers(0, 256, size).astype(np.uint8)
+        chunks, n = bytecnn.chunked(text, np.array([0, size]))
+        whole = bytecnn.document_features(bytecnn.chunk_features(net.tables(), net.bias, chunks), n)
+        assert np.allclose(bytecnn.long_features(net.tables(), net.bias, text), whole, rtol=1e-4, atol=1e-5)
+
+
+@pytest.mark.parametrize("what", ["shingles", "features", "grams"])
+def test_one_long_text_takes_bounded_memory(what):
+    """Working memory beyond the text, numpy's own count, for 20 MB in one text."""
+    text = (b"Some words of a long text, again and anew. " * 500_000)[: 20 << 20]
+    flat, net = np.frombuffer(text, np.uint8), bytecnn.fit([], np.empty(0), 0.5)
+    arrow = utf8(pa.array([text.decode()], pa.large_string()))
+    run = {"shingles": lambda: dart.shingles(arrow), "grams": lambda: centroid.gram_counts(arrow),
+           "features": lambda: bytecnn.chunked(flat[: bytecnn.CHUNKS_CUT * 448], np.array([0, bytecnn.CHUNKS_CUT * 448]))}[what]
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < {"shingles": 16, "grams": 8, "features": 8}[what] * len(text)
 
 
 def test_filters_meet_a_pattern_at_every_offset():
