@@ -59,6 +59,13 @@ def default_rate_by_month(t):
     return _rounded(o.default_rate_by_month(rows))
 
 
+@query("default_rate_collapsed", "with " + OUTCOME + """, open_rows as (select * from later where IsOpen = 1 and Stage <> 3 and AccountStatus <> 'FROZEN' and Ever90_12 in (0, 1)),
+ live as (select AccountNumber, CurrentAmount, Ever90, IsOpen, AccountStatus, Stage, Ever90_12, CurrentAmount_12, min(SnapshotDate) as SnapshotDate from open_rows group by 1, 2, 3, 4, 5, 6, 7, 8),""" + _rates("live", "Ever90_12"), "model_tape")
+def default_rate_collapsed(t):
+    rows = o.outcome_12m(t.model_tape, CARRY).filter((F.col("IsOpen") == 1) & (F.col("Stage") != 3) & (F.col("AccountStatus") != "FROZEN"))
+    return _rounded(o.default_rate_by_month(rows, collapse_months=True))
+
+
 @query("default_rate_stage_1", "with " + OUTCOME + ", live as (select * from later where IsOpen = 1 and Stage = 1)," + _rates("live", "Ever90_12"), "model_tape")
 def default_rate_stage_1(t):
     rows = o.outcome_12m(t.model_tape, CARRY).filter(F.col("IsOpen") == 1)

@@ -57,14 +57,18 @@ def monthly_counts(df: DataFrame, date: str = "SnapshotDate", share_of: int | No
 
 
 def default_rate_by_month(df: DataFrame, outcome: str = "Ever90_12", window: int = 3, date: str = "SnapshotDate",
-                          stages: Sequence[int] | None = None, stage_col: str = "Stage") -> DataFrame:
+                          stages: Sequence[int] | None = None, stage_col: str = "Stage", collapse_months: bool = False) -> DataFrame:
     """Share of bad outcomes per month-end and its rolling mean, after removing repeated rows.
 
+    With `collapse_months` rows that are equal but for their date count once, in the first of their months.
+
     A class's empty months count 0 between its own first and last month; outside that span of either
     class the rate is unknown.
     """
     rows = df if stages is None else df.filter(F.col(stage_col).isin(*stages))
     rows = rows.filter(F.col(outcome).isin(0, 1) & F.col(date).isNotNull()).distinct()
+    if collapse_months:
+        rows = rows.groupBy(*[c for c in rows.columns if c != date]).agg(F.min(date).alias(date))
     counts = rows.groupBy(F.last_day(date).alias("Month")).agg(
         F.count_if(F.col(outcome) == 1).alias("bad"), F.count_if(F.col(outcome) == 0).alias("good"))
     # From here on one row per month.
