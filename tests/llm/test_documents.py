@@ -468,3 +468,13 @@ def test_near_copy_stage_keeps_one_row_of_an_id(spark, odd):
     kept = corpus_pipeline.drop_near_copies(spark, odd, SF)
     ids = Counter(r.doc_id for r in kept.collect())
     assert kept.columns == odd.columns and ids[4] == 1 and 5 not in ids and ids[None] == 1 and ids[0] == ids[1] == 1
+
+
+def test_a_sieve_lets_every_key_through(spark):
+    from riskspark.llm.text import sieve, sifted
+    keys = spark.range(3000).select((F.col("id") * 7 - 5000).alias("k"))
+    marked = sifted(spark.range(-20000, 20000).withColumnRenamed("id", "v"), F.col("v"), sieve(keys, "k"))
+    found = marked.filter("__may")
+    assert marked.columns == ["v", "__may"] and marked.count() == 40000
+    assert found.join(keys, F.col("v") == F.col("k"), "left_semi").count() == 3000 and found.count() < 3100
+    assert sifted(keys, F.col("k"), sieve(keys.limit(0), "k")).filter("__may").count() == 0
