@@ -204,6 +204,12 @@ def base_spans(pii: str = "__pii") -> Column:
     return F.array_sort(F.transform(kept, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))
 
 
+def count_of(spans: Column | str, kind: str) -> Column:
+    """How many of the spans are of one kind, as a long."""
+    # The lambda takes one argument: to a second one, a default too, `filter` passes the element's place.
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+
+
 def written(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     kinds = F.array(*[F.lit(k) for k in KINDS])

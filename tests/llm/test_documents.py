@@ -1,5 +1,6 @@
 """Mixing, personal data, near-duplicates, classifiers and the pipeline against plain versions."""
 
+import hashlib
 import re
 import tracemalloc
 from collections import Counter
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskspark.llm import bytecnn, centroid, dart, pii, pivotal
+from riskspark.llm.queries import QUERIES as LLM_QUERIES
 from riskspark.llm.text import utf8
 
 SF = "/root/testdata/sf0.001"
@@ -135,6 +137,19 @@ def test_base_spans_are_the_contract_s(spark, odd, none):
     assert pii.find(none).collect() == []
 
 
+def test_query_counts_the_spans_of_each_kind(spark, odd, tmp_path):
+    texts = TRICKY + ["10.0.0.1 10.0.0.2 a@b.cd", "4111 1111 1111 1111", "+1 (988) 555-2485 +49 30 1234567 1.2.3.4", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(odd.select("doc_id", "text"))
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = LLM_QUERIES["op7_weak_supervision_pii"](spark, str(tmp_path)).collect()
+    want = Counter()
+    for r in df.collect():
+        spans = base_spans(r.text or "")
+        digest = hashlib.sha256(",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans).encode()).hexdigest()
+        want[(r.doc_id, *[sum(k == kind for _, k, _ in spans) for kind in range(4)], digest)] += 1
+    assert Counter((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in rows) == want
+
+
 def test_supervision_adds_what_the_patterns_miss(spark):
     rows = [f"Please contact us: phone +1 (988) 555-{i:04d} or mail a{i}@b.com today" for i in range(60)]
     rows += [f"isbn {i:04d} 1234 and version 1.2.3.{300 + i} with order {1234567 + i} in it" for i in range(60)]
