@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.operators.metrics import rates_from_counts
-from riskspark.operators.modelling import FEATURES, assembled, combinations_of, metric_distance, parallel, params_text
+from riskspark.operators.modelling import FEATURES, assembled, combinations_of, metric_distance, parallel, params_text, with_weights
 from riskspark.session import shared_folder
 
 #: Parameters that a cut of one forest can stand for.
@@ -137,7 +137,7 @@ def forest_grid_search(grid: Mapping[str, Sequence[Any]], train: DataFrame, test
     try:
         def fit(i: int) -> tuple[int, list[tuple]]:
             forest = RandomForestClassifier(numTrees=trees[-1], maxDepth=depths[-1], seed=seed, maxMemoryInMB=512)
-            model = forest.copy({forest.getParam(k): v for k, v in fits[i].items()}).fit(data)
+            model = with_weights(forest, fits[i]).fit(data)
             return i, forest_row(forest_nodes(model, spark), depths)
 
         fitted = parallel(spark, [lambda i=i: fit(i) for i in range(len(fits))], parallelism)

@@ -23,12 +23,16 @@ COMPARISON_MEAN_PD = 0.041118483857453376
 HIGH_CORRELATION = 0.85
 
 
-def confusion_counts(label: Column, prediction: Column, suffix: str = "") -> list[Column]:
+def confusion_counts(label: Column, prediction: Column, suffix: str = "", weight: Column | None = None) -> list[Column]:
+    """Counts of rows or, with `weight`, of the rows that each one stands for."""
+    def count(of: Column) -> Column:
+        return F.count_if(of) if weight is None else F.coalesce(F.sum(F.when(of, weight)), F.lit(0)).cast("long")
+
     return [
-        F.count_if((label == 1) & (prediction == 1)).alias(f"tp{suffix}"),
-        F.count_if((label == 0) & (prediction == 1)).alias(f"fp{suffix}"),
-        F.count_if((label == 1) & (prediction == 0)).alias(f"fn{suffix}"),
-        F.count_if((label == 0) & (prediction == 0)).alias(f"tn{suffix}"),
+        count((label == 1) & (prediction == 1)).alias(f"tp{suffix}"),
+        count((label == 0) & (prediction == 1)).alias(f"fp{suffix}"),
+        count((label == 1) & (prediction == 0)).alias(f"fn{suffix}"),
+        count((label == 0) & (prediction == 0)).alias(f"tn{suffix}"),
     ]
 
 

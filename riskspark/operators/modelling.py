@@ -21,12 +21,15 @@ from riskspark.operators.logistic import fit_logistic
 from riskspark.operators.metrics import confusion_counts, rates_from_counts
 from riskspark.operators.sampling import stratified_folds
 from riskspark.operators.scoring import LogitModel
+from riskspark.session import materialise
 
 FEATURES = ("CoappFlag", "Ever30In6Months", "WorstDelinquency6M", "CurrentDelinquencyStatus")
 BAD_WEIGHT = 0.67
 METRICS = ("accuracy", "precision", "recall", "f1")
 #: Rows of one partition of a fit's data, at the least.
 ROWS_PER_PARTITION = 200_000
+#: Rows that stand for equal rows of a large fit, at most: far above any least number of rows in a leaf.
+UNITS = 2_000
 
 
 def assemble(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -35,13 +38,36 @@ def assemble(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(typed)
 
 
-def assembled(df: DataFrame, features: Sequence[str], label: str, *more: str) -> DataFrame:
-    """The persisted feature vectors and labels of a fit, to be unpersisted by the caller.
+def counted(sizes: DataFrame, columns: Sequence[str], units: int) -> DataFrame:
+    """Different rows with their number `__n` as rows with a `weight`, the rows each stands for; the sum is all rows.
+
+    A row that comes n times becomes min(n, units) rows of nearly equal whole weights. Sums by weight are those over the
+    single rows. What a fit draws by row is drawn by unit, and a leaf that must hold k rows must hold k units, which is
+    the same while k is at most `units`.
+    """
+    n, parts = F.col("__n"), F.least(F.col("__n"), F.lit(units))
+    rows = sizes.withColumn("__unit", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    weight = F.floor(n / parts) + F.when(F.col("__unit") < n % parts, 1).otherwise(0)
+    return rows.select(*columns, weight.cast("double").alias("weight"))
+
+
+def assembled(df: DataFrame, features: Sequence[str], label: str, *more: str, weighted: bool = True) -> DataFrame:
+    """The persisted feature vectors, labels and weights of a fit, to be unpersisted by the caller.
 
     They lie in as many partitions as their size needs: a tree's fit runs a job for every level, and its tasks for
-    small frames cost more than their work.
+    small frames cost more than their work. In a frame of more rows than one partition takes, equal rows are `counted`,
+    so that the passes of a fit grow with the different rows only. In a smaller one, and with `weighted=False`, for
+    estimators that take no weights, every row has the weight 1.
     """
-    data = assemble(df, features, label).select("features", "label", *more).persist(StorageLevel.MEMORY_AND_DISK)
+    columns = list(dict.fromkeys([*features, label, *more]))
+    rows = df.withColumn("weight", F.lit(1.0))
+    if weighted:
+        sizes = materialise(df.groupBy(*columns).agg(F.count("*").alias("__n")), "equal-rows")
+        if (sizes.agg(F.sum("__n")).first()[0] or 0) > ROWS_PER_PARTITION:
+            rows = counted(sizes, columns, UNITS)
+            size = sizes.agg(F.sum(F.least("__n", F.lit(UNITS)))).first()[0]
+            rows = rows.repartition(-(-size // ROWS_PER_PARTITION))
+    data = assemble(rows, features, label).select("features", "label", "weight", *more).persist(StorageLevel.MEMORY_AND_DISK)
     parts = -(-data.count() // ROWS_PER_PARTITION)
     if parts >= data.rdd.getNumPartitions():
         return data
@@ -51,6 +77,20 @@ def assembled(df: DataFrame, features: Sequence[str], label: str, *more: str) ->
     return packed
 
 
+#: Estimators that weigh rows; others may have the parameter and pass over it.
+WEIGHING = (GBTClassifier, RandomForestClassifier, DecisionTreeClassifier, LogisticRegression)
+
+
+def takes_weights(*estimators: Estimator) -> bool:
+    return all(isinstance(e, WEIGHING) for e in estimators)
+
+
+def with_weights(estimator: Estimator, params: Mapping[str, Any] | None = None) -> Estimator:
+    """A copy with these parameters that reads the weights of `assembled`, if it can."""
+    given = dict(params or {}) | ({"weightCol": "weight"} if takes_weights(estimator) else {})
+    return estimator.copy({estimator.getParam(k): v for k, v in given.items()})
+
+
 # Fixed value: the most iterations of a logistic fit; the tolerance ends it long before.
 LOGISTIC = {"maxIter": 10_000_000, "tol": 1e-9}
 
@@ -106,15 +146,17 @@ def fit_models(train: DataFrame, features: Sequence[str] = FEATURES, label: str
                estimators: Mapping[str, Estimator] | None = None, folds: int = 5, parallelism: int = 4,
                key: Sequence[str] = ("AccountNumber", "SnapshotDate")) -> FittedModels:
     """Fit each candidate, with its accuracy on `folds` held-out stratified parts (model, fold, accuracy)."""
-    dealt = stratified_folds(train, label, folds, key) if folds > 1 else train.withColumn("fold", F.lit(0))
-    data = assembled(dealt, features, label, "fold")
+    needed = train.select(*dict.fromkeys([*features, label, *(key if folds > 1 else ())]))
+    dealt = stratified_folds(needed, label, folds, key) if folds > 1 else needed.withColumn("fold", F.lit(0))
+    data = assembled(dealt, features, label, "fold", weighted=takes_weights(*(estimators or {}).values()))
     try:
-        estimators = dict(estimators or default_estimators(data.count()))
+        rows = int(data.agg(F.sum("weight")).first()[0] or 0)
+        estimators = {n: with_weights(e) for n, e in (estimators or default_estimators(rows)).items()}
         fitted = parallel(train.sparkSession, [lambda e=e: e.fit(data) for e in estimators.values()], parallelism)
 
         def accuracy(name: str, fold: int) -> tuple[str, int, float]:
             model = estimators[name].fit(data.filter(F.col("fold") != fold))
-            hit = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+            hit = F.sum(F.when(F.col("prediction") == F.col("label"), F.col("weight")).otherwise(0.0)) / F.sum("weight")
             return name, fold + 1, model.transform(data.filter(F.col("fold") == fold)).agg(hit).first()[0]
 
         cv = parallel(train.sparkSession, [lambda n=n, k=k: accuracy(n, k) for n in estimators for k in range(folds)], parallelism) if folds > 1 else []
@@ -174,17 +216,18 @@ def grid_search(estimator: Estimator, combos: Sequence[Mapping[str, Any]], train
                 features: Sequence[str] = FEATURES, label: str = "Ever90_12M", parallelism: int = 4, chunk: int = 16) -> DataFrame:
     """Train and test metrics for each parameter combination, and the distance between the two.
 
-    Models are fitted several at a time on cached vectors. A chunk of models is then evaluated together:
+    Models are fitted several at a time on cached vectors, of which equal ones of large frames are counted. A chunk of models is then evaluated together:
     each adds a prediction column and one aggregate counts all of them, so the data is read once per
     chunk rather than twice per model. The result has one row per combination.
     """
     spark = train.sparkSession
-    sets = {n: assembled(d, features, label) for n, d in (("train", train), ("test", test))}
+    weighted = takes_weights(estimator)
+    sets = {n: assembled(d, features, label, weighted=weighted) for n, d in (("train", train), ("test", test))}
     rows: list[tuple] = []
     try:
         for start in range(0, len(combos), chunk):
             part = list(combos[start:start + chunk])
-            models = parallel(spark, [lambda p=p: estimator.copy({estimator.getParam(k): v for k, v in p.items()}).fit(sets["train"])
+            models = parallel(spark, [lambda p=p: with_weights(estimator, p).fit(sets["train"])
                                 for p in part], parallelism)
             counted = {n: _count_all(d, models) for n, d in sets.items()}
             for i, p in enumerate(part):
@@ -206,7 +249,7 @@ def _count_all(df: DataFrame, models: Sequence[Model]) -> dict[str, int]:
     for i, m in enumerate(models):
         silent = m.copy().setPredictionCol(f"prediction_{i}").setRawPredictionCol(f"raw_{i}").setProbabilityCol(f"prob_{i}")
         df = silent.transform(df)
-        aggs += confusion_counts(F.col("label"), F.col(f"prediction_{i}"), f"_{i}")
+        aggs += confusion_counts(F.col("label"), F.col(f"prediction_{i}"), f"_{i}", F.col("weight"))
     return df.agg(*aggs).first().asDict()
 
 

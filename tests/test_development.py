@@ -1,11 +1,13 @@
 """Forest cuts, logistic fits, stored models, special functions, feature statistics and the monthly state."""
 
+import datetime as dt
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
 from helpers import one, rows
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, FMClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from riskspark.functions import special
@@ -195,3 +197,36 @@ def test_a_monthly_run_reads_one_month(spark, tmp_path):
     assert "StateMonth" in plan and out.count() > 0
     states = {str(r.StateMonth): r["count"] for r in spark.read.parquet(folder).groupBy("StateMonth").count().collect()}
     assert set(states) == {"2001-07-31", "2001-08-31"}
+
+
+def test_equal_rows_of_a_large_fit_are_counted(spark, monkeypatch):
+    rows = [(i, dt.date(2020, 1, 31), i % 2, 0, i % 3, i % 3 if i % 50 else 9, int(i % 7 < i % 3)) for i in range(3000)]
+    df = spark.createDataFrame(rows, f"AccountNumber int, SnapshotDate date, CoappFlag int, Ever30In6Months int, WorstDelinquency6M int, CurrentDelinquencyStatus int, {LABEL} int")
+    trees = {"tree": DecisionTreeClassifier(maxDepth=7, minInstancesPerNode=7), "lr": LogisticRegression(regParam=0.01, standardization=False, tol=1e-12)}
+    plain = ml.fit_models(df, estimators=trees, folds=3)
+    combos = ml.combinations_of({"maxDepth": (1, 3)})
+    grid = ml.grid_search(trees["tree"], combos, df, df).orderBy("combination").collect()
+    monkeypatch.setattr(ml, "ROWS_PER_PARTITION", 100)
+    monkeypatch.setattr(ml, "UNITS", 10)
+    data = ml.assembled(df, ml.FEATURES, LABEL)
+    whole = Counter((*map(float, r[2:6]), float(r[6])) for r in rows)
+    seen = Counter()
+    for r in data.collect():
+        assert r.weight == int(r.weight) >= 1
+        seen[(*r.features.toArray().tolist(), r.label)] += int(r.weight)
+    assert seen == whole and data.count() == sum(min(n, 10) for n in whole.values()) < 400
+    data.unpersist()
+    fitted = ml.fit_models(df, estimators=trees, folds=3)
+    assert [(n, k) for n, k, _ in fitted.cross_validation] == [(n, k) for n, k, _ in plain.cross_validation]
+    assert [a for *_, a in fitted.cross_validation] == pytest.approx([a for *_, a in plain.cross_validation])
+    assert fitted.models["lr"].coefficients.toArray() == pytest.approx(plain.models["lr"].coefficients.toArray(), abs=1e-6)
+    assert fitted.models["tree"].toDebugString.split("\n")[1:] == plain.models["tree"].toDebugString.split("\n")[1:]
+    assert ml.grid_search(trees["tree"], combos, df, df).orderBy("combination").collect() == grid
+
+
+def test_estimators_without_weights_are_given_single_rows(spark, monkeypatch):
+    df = spark.createDataFrame([(i, i % 2, i % 2) for i in range(60)], "AccountNumber int, a int, y int")
+    monkeypatch.setattr(ml, "ROWS_PER_PARTITION", 10)
+    data = ml.assembled(df, ["a"], "y", weighted=False)
+    assert data.count() == 60 and {r.weight for r in data.collect()} == {1.0}
+    assert not ml.takes_weights(FMClassifier()) and ml.fit_models(df, ["a"], "y", {"fm": FMClassifier(maxIter=2)}, folds=2, key=["AccountNumber"]).cross_validation
