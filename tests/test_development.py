@@ -230,3 +230,18 @@ def test_estimators_without_weights_are_given_single_rows(spark, monkeypatch):
     data = ml.assembled(df, ["a"], "y", weighted=False)
     assert data.count() == 60 and {r.weight for r in data.collect()} == {1.0}
     assert not ml.takes_weights(FMClassifier()) and ml.fit_models(df, ["a"], "y", {"fm": FMClassifier(maxIter=2)}, folds=2, key=["AccountNumber"]).cross_validation
+
+
+def test_forest_grid_fits_counted_rows_and_counts_all(spark, monkeypatch):
+    df = spark.range(2000).selectExpr("cast(id % 2 as int) as a", "cast(id % 3 as int) as b", "cast(id % 6 > 2 as int) as y")
+    monkeypatch.setattr(ml, "ROWS_PER_PARTITION", 100)
+    monkeypatch.setattr(ml, "UNITS", 20)
+    sizes = []
+
+    def recorded(*args):
+        data = ml.assembled(*args)
+        sizes.append(data.count())
+        return data
+    monkeypatch.setattr(forests, "assembled", recorded)
+    found = forests.forest_grid_search({"numTrees": (3,), "maxDepth": (1, 3), "minInstancesPerNode": (2,)}, df, df, ["a", "b"], "y").collect()
+    assert sizes == [6 * 20] and len(found) == 2 and max(r.test_accuracy for r in found) == 1.0
