@@ -16,6 +16,7 @@ import base64
 import functools
 import hashlib
 import json
+import os
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -34,7 +35,7 @@ WORDS_AT_ONCE = 128
 #: Words whose ids a worker keeps, some 300 bytes each.
 WORDS_KEPT = 200_000
 #: More text at once has fewer distinct words for its size, and needs more memory.
-BYTES_AT_ONCE = 2 << 20
+BYTES_AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 2048
 TEXTS_AT_ONCE = 64
 
@@ -182,7 +183,11 @@ class ByteBpe:
 
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> ByteBpe:
-    """Once per Python worker and path. The file lies at the same path on every machine."""
+    """Once per Python worker and path. The file lies at the same path on every machine.
+
+    A task has one core: the library's threads, one for each core of the machine, would each keep memory of their own.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return ByteBpe(path)
 
 

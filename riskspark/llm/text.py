@@ -131,8 +131,12 @@ def span_hashes(flat: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int
     base = _BASES[which]
     power, back = np.full(len(flat) + 1, base, np.uint64), np.full(len(flat) + 1, pow(base, -1, 1 << 64), np.uint64)
     power[0] = back[0] = 1
-    power, back = np.multiply.accumulate(power), np.multiply.accumulate(back)
-    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[which][flat] * power[:-1])])
+    # In place: each of these arrays has eight times the size of the text.
+    np.multiply.accumulate(power, out=power)
+    np.multiply.accumulate(back, out=back)
+    run = np.zeros(len(flat) + 1, np.uint64)
+    np.multiply(_BYTES[which][flat], power[:-1], out=run[1:])
+    np.cumsum(run, out=run)
     return mixed((run[end] - run[begin]) * back[begin] + (end - begin).astype(np.uint64))
 
 

@@ -1,8 +1,12 @@
 """Encoding, token files and edit-aware counts against the tiktoken library and plain versions."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -134,3 +138,19 @@ def test_edit_columns(spark, odd, none, plain):
     for r in kept.select("text", edits.edited(F.col("text"), F.col("l"), F.lit(None).cast(f"array<{edits.EDIT}>"), RANKS, public_tokenizers.PATTERN).alias("e")).collect():
         assert r.e.text == (r.text or "") and r.e.encoded == 0 and r.e.n_tokens == len(plain.encode_ordinary(r.e.text))
     assert none.select(edits.counts(F.col("text"), todo, RANKS, public_tokenizers.PATTERN).alias("c")).collect() == []
+
+
+def test_an_encoding_worker_uses_one_core_and_small_pieces():
+    """The library's threads and large pieces made workers of some 300 MB, two of them beside an executor."""
+    code = """if True:
+        import os, sys
+        from riskspark.llm import bpe
+        own = bpe.vocabulary(sys.argv[1])
+        before = len(os.listdir("/proc/self/task"))
+        own._whole([f" word{i} and more" for i in range(5000)])
+        print(len(os.listdir("/proc/self/task")) - before)
+    """
+    root = Path(bpe.__file__).parents[2]
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    run = subprocess.run([sys.executable, "-c", code, RANKS], capture_output=True, text=True, cwd=root, env=env, check=True)
+    assert int(run.stdout) == 0 and bpe.BYTES_AT_ONCE <= 1 << 20
