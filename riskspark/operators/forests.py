@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.operators.metrics import rates_from_counts
-from riskspark.operators.modelling import FEATURES, assembled, combinations_of, metric_distance, parallel, params_text, with_weights
-from riskspark.session import shared_folder
+from riskspark.operators.modelling import FEATURES, Counted, assembled, combinations_of, equal_rows, metric_distance, parallel, params_text, with_weights
+from riskspark.session import materialise, shared_folder
 
 #: Parameters that a cut of one forest can stand for.
 CUTS = ("numTrees", "maxDepth")
@@ -128,12 +128,14 @@ def forest_grid_search(grid: Mapping[str, Sequence[Any]], train: DataFrame, test
     """Train and test metrics for each combination of `grid`, and the distance between the two, as `grid_search` gives.
 
     One forest is fitted for each combination of the parameters but numTrees and maxDepth, with the most trees of the
-    greatest depth. Equal feature vectors are counted first and scored once.
+    greatest depth. Equal feature vectors are counted first and scored once; those of `train` serve the fits as well,
+    so a large frame is read once for both.
     """
     spark = train.sparkSession
     trees, depths = sorted(set(grid["numTrees"])), sorted(set(grid["maxDepth"]))
     fits = combinations_of({k: v for k, v in grid.items() if k not in CUTS})
-    data = assembled(train, features, label)
+    known = equal_rows(train, [*features, label])
+    data = assembled(Counted(train, known), features, label)
     try:
         def fit(i: int) -> tuple[int, list[tuple]]:
             forest = RandomForestClassifier(numTrees=trees[-1], maxDepth=depths[-1], seed=seed, maxMemoryInMB=512)
@@ -145,9 +147,10 @@ def forest_grid_search(grid: Mapping[str, Sequence[Any]], train: DataFrame, test
         data.unpersist()
     forests = spark.createDataFrame(fitted, f"forest int, trees array<{TREE}>")
 
-    parts = [df.select(F.lit(name).alias("part"), F.col(label).cast("int").alias("label"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
-             for name, df in (("train", train), ("test", test))]
-    vectors = parts[0].unionByName(parts[1]).groupBy("part", "label", "x").agg(F.count("*").alias("n"))
+    parts = [df.select(F.lit(name).alias("part"), F.col(label).cast("int").alias("label"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"), n.alias("n"))
+             for name, df, n in (("train", known, F.col("__n")), ("test", test, F.lit(1).cast("long")))]
+    # Written, as who ranks the combinations reads them twice.
+    vectors = materialise(parts[0].unionByName(parts[1]).groupBy("part", "label", "x").agg(F.sum("n").alias("n")), "vectors")
     scored = cut_predictions(vectors, forests, "x", trees, depths)
     each = scored.select("part", "label", "n", "forest", F.posexplode("predicted").alias("cut", "prediction"))
     some = lambda y, z: F.sum(F.when((F.col("label") == y) & (F.col("prediction") == z), F.col("n")).otherwise(0)).cast("long")

@@ -51,18 +51,32 @@ def counted(sizes: DataFrame, columns: Sequence[str], units: int) -> DataFrame:
     return rows.select(*columns, weight.cast("double").alias("weight"))
 
 
-def assembled(df: DataFrame, features: Sequence[str], label: str, *more: str, weighted: bool = True) -> DataFrame:
+def equal_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The different rows of these columns with their number `__n`, written."""
+    return materialise(df.groupBy(*dict.fromkeys(columns)).agg(F.count("*").alias("__n")), "equal-rows")
+
+
+@dataclass
+class Counted:
+    """A frame, and the `equal_rows` of the columns that a fit reads."""
+
+    rows: DataFrame
+    sizes: DataFrame
+
+
+def assembled(df: DataFrame | Counted, features: Sequence[str], label: str, *more: str, weighted: bool = True) -> DataFrame:
     """The persisted feature vectors, labels and weights of a fit, to be unpersisted by the caller.
 
     They lie in as many partitions as their size needs: a tree's fit runs a job for every level, and its tasks for
     small frames cost more than their work. In a frame of more rows than one partition takes, equal rows are `counted`,
     so that the passes of a fit grow with the different rows only. In a smaller one, and with `weighted=False`, for
-    estimators that take no weights, every row has the weight 1.
+    estimators that take no weights, every row has the weight 1. A `Counted` frame's equal rows aren't counted again.
     """
     columns = list(dict.fromkeys([*features, label, *more]))
+    df, sizes = (df.rows, df.sizes) if isinstance(df, Counted) else (df, None)
     rows = df.withColumn("weight", F.lit(1.0))
     if weighted:
-        sizes = materialise(df.groupBy(*columns).agg(F.count("*").alias("__n")), "equal-rows")
+        sizes = equal_rows(df, columns) if sizes is None else sizes
         if (sizes.agg(F.sum("__n")).first()[0] or 0) > ROWS_PER_PARTITION:
             rows = counted(sizes, columns, UNITS)
             size = sizes.agg(F.sum(F.least("__n", F.lit(UNITS)))).first()[0]

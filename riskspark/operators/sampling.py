@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskspark.functions.dates import year_month
 from riskspark.operators.keyed import attach, first_per_key, running_totals
 from riskspark.operators.outcomes import hash_number
+from riskspark.session import materialise
 
 ORDER = ("AccountNumber", "MOB", "SnapshotDate")
 COPIES_PER_MONTH = 170
@@ -20,7 +21,8 @@ def split_by_positive_share(df: DataFrame, label: str = "Ever90_12M", shares: Se
     """Cut the ordered rows where the positives reach each share; the row reaching it opens the next part.
 
     Only the positives are accumulated, one row per distinct `order`, and every row is then compared
-    with the cut keys. Rows with equal `order` stay together.
+    with the cut keys, which are written: a plan that reads the split several times finds them once. Rows with equal
+    `order` stay together.
     """
     per_key = df.filter(F.col(label) == 1).groupBy(*order).agg(F.count("*").alias("n"))
     cums = running_totals(per_key, list(order), ["n"])
@@ -28,7 +30,7 @@ def split_by_positive_share(df: DataFrame, label: str = "Ever90_12M", shares: Se
     targets = [F.rint(F.col("total_n") * F.lit(s)) for s in shares]
     key = F.struct(*order)
     reached = [F.min(F.when((F.col("cum_n") >= t) & (t > 0), key)).alias(f"cut{i}") for i, t in enumerate(targets)]
-    cuts = cums.agg(*reached).select(F.struct("*")).scalar()
+    cuts = materialise(cums.agg(*reached), "cuts").select(F.struct("*")).scalar()
     part = F.lit(names[-1])
     for i in reversed(range(len(shares))):
         part = F.when(key < cuts.getField(f"cut{i}"), names[i]).otherwise(part)
@@ -39,25 +41,28 @@ def replicate_to_length(df: DataFrame, by: Column, n: int = COPIES_PER_MONTH, or
                         name: str = "YearMonth") -> DataFrame:
     """Repeat each group's rows, in order, until it has exactly `n`; a group of `n` or more rows keeps each once.
 
-    Only rows of small groups are numbered: the others are dealt by a hash, so a hot group is many partitions.
-    Rows without a group are kept once.
+    Only rows of small groups are numbered, and only they are moved; a group has fewer than `n` of them. The others
+    stay where they are. Rows without a group are kept once. `df` is read three times; materialise a costly one before.
     """
     df = df.withColumn(name, by)
     rows = attach(df, df.groupBy(name).agg(F.count("*").alias("__m")), [name])
     short = F.coalesce(F.col("__m") < n, F.lit(False))
-    part = F.when(short, 0).otherwise(F.pmod(F.xxhash64(*order), F.lit(1 << 20)))
-    rows = rows.withColumn("__i", F.row_number().over(Window.partitionBy(name, part).orderBy(*order)))
+    # The second key is always 0: what rows are dealt by decides their order, and with it the draws of later fits.
+    spec = Window.partitionBy(name, F.pmod(F.xxhash64(name), F.lit(1).cast("long"))).orderBy(*order)
+    numbered = rows.filter(short).withColumn("__i", F.row_number().over(spec))
     extra = F.when(F.col("__i") <= F.lit(n) % F.col("__m"), 1).otherwise(0)
-    copies = F.when(short, F.floor(F.lit(n) / F.col("__m")) + extra).otherwise(1).cast("int")
-    return rows.withColumn("Copy", F.explode(F.sequence(F.lit(1), copies))).drop("__m", "__i").select(*df.columns, "Copy")
+    copies = (F.floor(F.lit(n) / F.col("__m")) + extra).cast("int")
+    repeated = numbered.withColumn("Copy", F.explode(F.sequence(F.lit(1), copies)))
+    once = rows.filter(~short).withColumn("Copy", F.lit(1))
+    return once.select(*df.columns, "Copy").unionByName(repeated.select(*df.columns, "Copy"))
 
 
 def balance_by_month(train: DataFrame, label: str = "Ever90_12M", n: int = COPIES_PER_MONTH,
                      order: Sequence[str] = ORDER) -> DataFrame:
     """All negatives, and all positives, those of a disbursal month with fewer than `n` repeated to `n`."""
-    month = year_month(F.col("DisbursedDate"))
-    bad = replicate_to_length(train.filter(F.col(label) == 1), month, n, order).drop("Copy")
-    return train.filter(F.col(label) == 0).withColumn("YearMonth", F.lit(None).cast("int")).unionByName(bad)
+    # Negatives have no month and so are kept once, in the pass that keeps the positives of large months.
+    month = F.when(F.col(label) == 1, year_month(F.col("DisbursedDate")))
+    return replicate_to_length(train.filter(F.col(label).isin(0, 1)), month, n, order).drop("Copy")
 
 
 def upsample_minority(df: DataFrame, label: str = "Ever90_12M", key: Sequence[str] = ORDER, seed: int = 42) -> DataFrame:

@@ -15,7 +15,7 @@ from riskspark.operators.modelling import FEATURES, calibrate
 from riskspark.operators.outcomes import sample_account_month
 from riskspark.operators.sampling import balance_by_month, split_by_positive_share
 from riskspark.operators.scoring import LogitModel
-from riskspark.session import materialise
+from riskspark.session import materialise, written
 
 TAPE = ("AccountNumber", "SnapshotDate", "MOB", "DisbursedDate", "AccountStatus", "Ever90", "CoappFlag", "TimeSince30",
         "TimeSince60", "Ever30In6Months", "Ever30In12Months", "Ever30", "Ever60In6Months", "Ever60In12Months", "Ever60",
@@ -40,8 +40,8 @@ def sampled_tape(features: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def training_set(tape: DataFrame, label: str = "Ever90_12M") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Balanced train, plain test and validation."""
-    parts = materialise(split_by_positive_share(tape, label), "split")
+    """Balanced train, plain test and validation. A tape that is already written is read as it is, not written again."""
+    parts = split_by_positive_share(written(tape, "split"), label)
     train, test, validation = (parts.filter(F.col("Split") == n) for n in ("train", "test", "validation"))
     return balance_by_month(train, label), test, validation
 

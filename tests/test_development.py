@@ -16,6 +16,7 @@ from riskspark.operators import metrics as m
 from riskspark.operators import modelling as ml
 from riskspark.operators.scoring import BEHAVIOUR, LogitModel
 from riskspark.plans import development
+from riskspark.session import materialise
 
 LABEL = "Ever90_12M"
 
@@ -245,3 +246,20 @@ def test_forest_grid_fits_counted_rows_and_counts_all(spark, monkeypatch):
     monkeypatch.setattr(forests, "assembled", recorded)
     found = forests.forest_grid_search({"numTrees": (3,), "maxDepth": (1, 3), "minInstancesPerNode": (2,)}, df, df, ["a", "b"], "y").collect()
     assert sizes == [6 * 20] and len(found) == 2 and max(r.test_accuracy for r in found) == 1.0
+
+
+def test_forest_grid_reads_a_large_train_set_once(spark, monkeypatch, tmp_path):
+    df = spark.range(2000).selectExpr("cast(id % 2 as int) as a", "cast(id % 3 as int) as b", "cast(if(id % 7 = 0, null, id % 6 > 2) as int) as y")
+    df.write.parquet(str(tmp_path / "train"))
+    monkeypatch.setattr(ml, "ROWS_PER_PARTITION", 100)
+    train = spark.read.parquet(str(tmp_path / "train")).filter("y is not null")
+    grid = {"numTrees": (3,), "maxDepth": (1, 3), "minInstancesPerNode": (2,)}
+    found = forests.forest_grid_search(grid, train, df, ["a", "b"], "y")
+    assert not [f for f in found.inputFiles() if str(tmp_path) in f]
+    assert {(r.train_accuracy, r.test_accuracy) for r in found.filter("params like '%maxDepth=3%'").collect()} == {(1.0, 1.0)}
+
+
+def test_a_written_tape_is_not_written_again(spark):
+    written = materialise(tape(spark).withColumns({"MOB": F.lit(3), "DisbursedDate": F.col("SnapshotDate")}), "tape")
+    for part in development.training_set(written):
+        assert not [f for f in part.inputFiles() if "/split-" in f] and [f for f in part.inputFiles() if written._written_at.split("/")[-1] in f]
